@@ -18,6 +18,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
     """
     lows = [max(p - MARGIN, 0.0) for p in probs.values()]
     highs = [min(p + MARGIN, 1.0) for p in probs.values()]
+    large = F.col("rows") > ACCURACY  # a smaller group is ordered whole
     brackets = (
         df.groupBy(group)
         .agg(
@@ -31,8 +32,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
                 *[
                     F.struct(
                         F.lit(name).alias("name"),
-                        F.col("lows")[i].alias("low"),
-                        F.col("highs")[i].alias("high"),
+                        F.when(large, F.col("lows")[i]).alias("low"),
+                        F.when(large, F.col("highs")[i]).alias("high"),
                         ((F.col("rows") - 1) * F.lit(p)).alias("rank"),
                     )
                     for i, (name, p) in enumerate(probs.items())
@@ -43,15 +44,17 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
     )
     # Equal values collapse into one counted row before anything is ordered.
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    targeted = counts.join(brackets, group).filter(F.col(value) <= F.col("high"))
+    under = F.coalesce(F.col(value) < F.col("low"), F.lit(False))
+    over = F.coalesce(F.col(value) > F.col("high"), F.lit(False))
+    targeted = counts.join(brackets, group).filter(~over)
     key = [group, "name"]
     below = targeted.groupBy(*key).agg(
-        F.sum(F.when(F.col(value) < F.col("low"), F.col("n")).otherwise(0)).alias("below")
+        F.sum(F.when(under, F.col("n")).otherwise(0)).alias("below")
     )
     in_order = Window.partitionBy(*key).orderBy(value)
     upto = F.col("below") + F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     ranked = (
-        targeted.filter(F.col(value) >= F.col("low"))
+        targeted.filter(~under)
         .join(below, key)
         .withColumn("upto", upto)
         .withColumn("start", F.col("upto") - F.col("n"))

@@ -17,18 +17,20 @@ BY_DAY = "PARTITION BY store_nbr, family ORDER BY date"
 def rounded(expr: str, digits: int = 4) -> str:
     """Rounding that never gives a negative zero."""
     half = 0.5 * 10**-digits
-    return f"CASE WHEN abs({expr}) < {half:.10f} THEN 0.0::DOUBLE ELSE round(({expr})::DOUBLE, {digits}) END"
+    return f"CASE WHEN abs({expr}) < {half:.12f} THEN 0.0::DOUBLE ELSE round(({expr})::DOUBLE, {digits}) END"
 
 
-def digest(source: str, by: list[str], columns: list[str], where: str = "TRUE") -> str:
+def digest(
+    source: str, by: list[str], columns: list[str], where: str = "TRUE", digits: tuple[int, int] = (6, 5)
+) -> str:
     parts = [*by, "count(*) AS n_rows"]
     for c in columns:
-        total = f"sum({c}::DOUBLE)"
-        by_day = f"sum({c}::DOUBLE * date_diff('day', {START}, date)) / 1000"
+        mean = f"avg({c}::DOUBLE)"
+        by_day = f"avg({c}::DOUBLE * date_diff('day', {START}, date))"
         parts += [
             f"count({c}) AS {c}_known",
-            f"{rounded(total)} AS {c}_sum",
-            f"{rounded(by_day)} AS {c}_by_day",
+            f"{rounded(mean, digits[0])} AS {c}_mean",
+            f"{rounded(by_day, digits[1])} AS {c}_by_day",
         ]
     keys = ", ".join(by)
     return f"SELECT {', '.join(parts)} FROM {source} WHERE {where} GROUP BY {keys}"
@@ -67,7 +69,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "oil": (
         """SELECT date, CASE WHEN NOT (month(date) = 1 AND day(date) <= 10) THEN price END AS dcoilwtico
-           FROM (SELECT o_orderdate::DATE AS date, round(avg(o_totalprice) / 1000, 4) AS price
+           FROM (SELECT o_orderdate::DATE AS date,
+                        sum(round(o_totalprice * 100)::BIGINT)::DOUBLE / (count(*) * 100000) AS price
                  FROM orders GROUP BY ALL)
            WHERE isodow(date) <= 5""",
         (),
@@ -357,7 +360,7 @@ ORACLES: dict[str, str] = {
     ),
     "grid_rows": with_ctes(
         digest(
-            "(SELECT * REPLACE (is_test::INTEGER AS is_test) FROM grid)",
+            "(SELECT * REPLACE (is_test::INTEGER AS is_test, id % 10007 AS id) FROM grid)",
             ["store_nbr", "family"],
             ["id", "sales", "onpromotion", "is_test", "is_closed"],
         ),
@@ -373,7 +376,7 @@ ORACLES: dict[str, str] = {
     ),
     "oil_interpolated": with_ctes(
         "SELECT date, "
-        + ", ".join(f"{rounded(c, 6)} AS {c}" for c in ("dcoilwtico", "oil_ma7", "oil_ma30"))
+        + ", ".join(f"{rounded(c, 9)} AS {c}" for c in ("dcoilwtico", "oil_ma7", "oil_ma30"))
         + " FROM oil_daily",
         "oil_daily",
     ),
@@ -407,6 +410,7 @@ ORACLES: dict[str, str] = {
             "(SELECT * REPLACE (is_test::INTEGER AS is_test) FROM gold)",
             ["store_nbr", "city", "state", "type"],
             _GOLD_NUMERIC,
+            digits=(5, 3),
         ),
         "gold",
     ),
@@ -443,6 +447,7 @@ ORACLES: dict[str, str] = {
             "features",
             ["store_nbr"],
             ["log_sales", *[c for c in FEATURE_NAMES if c not in TEXT_NAMES and c != "store_nbr"]],
+            digits=(5, 3),
         ),
         "features",
     ),

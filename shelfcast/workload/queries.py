@@ -1,7 +1,7 @@
 """Every operator as a query over the star-schema tables.
 
 Queries that produce a row per grid row are checked through digests: per series or store, the
-count, the sum and the day-weighted sum of each column, so a value on the wrong day shows.
+count, the mean and the day-weighted mean of each column, so a value on the wrong day shows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from shelfcast.operators.events import effective_holidays, with_holiday_flags
 from shelfcast.operators.exogenous import oil_daily
 from shelfcast.operators.gold import gold_master, with_shock_flag
 from shelfcast.operators.grid import continuous_grid, series_catalogue, union_sales
+from shelfcast.operators.lineage import settled
 from shelfcast.operators.split import split_report, temporal_split
 from shelfcast.plans import profile, reports
 from shelfcast.plans.features import build_features, fill_warm_up
@@ -52,15 +53,17 @@ def rounded(c: Column, digits: int = DIGITS) -> Column:
     return F.round(c.cast("double"), digits)
 
 
-def digest(df: DataFrame, by: tuple[str, ...], columns: list[str]) -> DataFrame:
+def digest(
+    df: DataFrame, by: tuple[str, ...], columns: list[str], digits: tuple[int, int] = (6, 5)
+) -> DataFrame:
     day_nbr = F.datediff("date", F.lit(SPEC.calendar_start))
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in columns:
         v = F.col(c).cast("double")
         aggs += [
             F.count(c).alias(f"{c}_known"),
-            rounded(F.sum(v)).alias(f"{c}_sum"),
-            rounded(F.sum(v * day_nbr) / 1000).alias(f"{c}_by_day"),
+            rounded(F.avg(v), digits[0]).alias(f"{c}_mean"),
+            rounded(F.avg(v * day_nbr), digits[1]).alias(f"{c}_by_day"),
         ]
     return df.groupBy(*by).agg(*aggs)
 
@@ -137,8 +140,9 @@ def series_list(spark, sf_dir):
 @query
 def grid_rows(spark, sf_dir):
     columns = ["id", "sales", "onpromotion", "is_test", "is_closed"]
-    grid = full_grid(spark, sf_dir)
-    return digest(grid.withColumn("is_test", F.col("is_test").cast("int")), SERIES, columns)
+    # Ids are reduced so that their means keep all digits.
+    small = {"id": F.col("id") % 10007, "is_test": F.col("is_test").cast("int")}
+    return digest(full_grid(spark, sf_dir).withColumns(small), SERIES, columns)
 
 
 @query
@@ -164,7 +168,7 @@ def grid_gap_profile(spark, sf_dir):
 @query
 def oil_interpolated(spark, sf_dir):
     oil = oil_daily(retail_tables(spark, sf_dir).oil, SPEC)
-    return oil.select("date", *[rounded(F.col(c), 6).alias(c) for c in oil.columns[1:]])
+    return oil.select("date", *[rounded(F.col(c), 9).alias(c) for c in oil.columns[1:]])
 
 
 @query
@@ -206,7 +210,7 @@ def shock_flag(spark, sf_dir):
 def gold_digest(spark, sf_dir):
     df = master(spark, sf_dir).withColumn("is_test", F.col("is_test").cast("int"))
     numeric = [c for c in df.columns if c not in ("date", *SERIES, "city", "state", "type")]
-    return digest(df, ("store_nbr", "city", "state", "type"), numeric)
+    return digest(df, ("store_nbr", "city", "state", "type"), numeric, digits=(5, 3))
 
 
 # ------------------------------------------------------------------------------- features
@@ -263,7 +267,7 @@ def feature_table(spark, sf_dir):
     df = build_features(master(spark, sf_dir), SPEC)
     text = ("family", "city", "state", "type")
     numeric = [c for c in feature_columns(df.columns) if c not in text and c != "store_nbr"]
-    return digest(df, ("store_nbr",), ["log_sales", *numeric])
+    return digest(df, ("store_nbr",), ["log_sales", *numeric], digits=(5, 3))
 
 
 @query
@@ -567,7 +571,7 @@ def _model_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Train and validation rows with sales, numbers and categories as the models see them."""
     features = build_features(master(spark, sf_dir), SPEC)
     parts = temporal_split(features, SPEC.val_days, last_train_day=SPEC.last_train_day)
-    parts = parts.filter("log_sales IS NOT NULL")
+    parts = settled(parts.filter("log_sales IS NOT NULL"))
     return tuple(parts.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
 
 

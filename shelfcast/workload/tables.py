@@ -96,10 +96,11 @@ def store_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oil_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekdays only, without a value in the first ten days of a year."""
     day = F.to_date("o_orderdate")
+    cents = F.rint(F.col("o_totalprice") * 100).cast("long")
     daily = (
         read(spark, sf_dir, "orders")
         .groupBy(day.alias("date"))
-        .agg(F.round(F.avg("o_totalprice") / 1000, 4).alias("price"))
+        .agg((F.sum(cents) / (F.count(cents) * 100_000)).alias("price"))
     )
     new_year = (F.month("date") == 1) & (F.dayofmonth("date") <= 10)
     return daily.filter(F.weekday("date") < 5).select(
