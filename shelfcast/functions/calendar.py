@@ -2,47 +2,39 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _cycle(fn, position: Column, period: int) -> Column:
-    return fn(position * F.lit(2 * math.pi / period))
-
-
 def calendar_columns(day: str = "date") -> dict[str, Column]:
-    d = F.col(day)
-    weekday, month = F.weekday(d), F.month(d)  # weekday: 0 is Monday
-    return {
-        "dayofweek": weekday,
-        "day": F.dayofmonth(d),
-        "month": month,
-        "year": F.year(d),
-        "weekofyear": F.weekofyear(d),
-        "is_weekend": (weekday >= 5).cast("int"),
-        "sin_dow": _cycle(F.sin, weekday, 7),
-        "cos_dow": _cycle(F.cos, weekday, 7),
-        "sin_month": _cycle(F.sin, month, 12),
-        "cos_month": _cycle(F.cos, month, 12),
+    """Parts of the date, and weekday (0 is Monday) and month as points on a circle."""
+    columns = {
+        "dayofweek": f"weekday({day})",
+        "day": f"day({day})",
+        "month": f"month({day})",
+        "year": f"year({day})",
+        "weekofyear": f"weekofyear({day})",
+        "is_weekend": f"int(weekday({day}) >= 5)",
+        "sin_dow": f"sin(2 * pi() * weekday({day}) / 7)",
+        "cos_dow": f"cos(2 * pi() * weekday({day}) / 7)",
+        "sin_month": f"sin(2 * pi() * month({day}) / 12)",
+        "cos_month": f"cos(2 * pi() * month({day}) / 12)",
     }
+    return {name: F.expr(sql) for name, sql in columns.items()}
 
 
 def payday_columns(day: str = "date") -> dict[str, Column]:
     """Wages are paid on the 15th and on the last day of the month."""
-    d = F.col(day)
-    dom, month_end = F.dayofmonth(d), F.last_day(d)
+    month_end = f"last_day({day})"
     return {
-        "is_payday": ((dom == 15) | (d == month_end)).cast("int"),
-        "days_to_payday": F.when(dom <= 15, 15 - dom).otherwise(F.dayofmonth(month_end) - dom),
+        "is_payday": F.expr(f"int(day({day}) = 15 OR {day} = {month_end})"),
+        "days_to_payday": F.expr(
+            f"if(day({day}) <= 15, 15 - day({day}), day({month_end}) - day({day}))"
+        ),
     }
 
 
 def on_month_day(day: str, month_days: tuple[tuple[int, int], ...]) -> Column:
     """True on any of the given (month, day) pairs."""
-    d = F.col(day)
-    hit = F.lit(False)
-    for month, dom in month_days:
-        hit = hit | ((F.month(d) == month) & (F.dayofmonth(d) == dom))
-    return hit
+    hits = [f"(month({day}) = {m} AND day({day}) = {d})" for m, d in month_days]
+    return F.expr(" OR ".join(hits) or "false")

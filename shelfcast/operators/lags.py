@@ -8,7 +8,7 @@ and order: Spark evaluates all of them in one pass over one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.scale import to_log
@@ -24,11 +24,8 @@ from shelfcast.spec import (
     DemandSpec,
 )
 
-LOG_UNITS = 2.0**40  # units per 1.0 of log sales; a sum of 400,000 days still fits 64 bits
-
-
-def by_day() -> WindowSpec:
-    return Window.partitionBy(*SERIES).orderBy("date")
+BY_DAY = f"PARTITION BY {', '.join(SERIES)} ORDER BY date"
+LOG_UNITS = 2**40  # units per 1.0 of log sales; a sum of 400,000 days still fits 64 bits
 
 
 def with_log_sales(df: DataFrame) -> DataFrame:
@@ -36,29 +33,36 @@ def with_log_sales(df: DataFrame) -> DataFrame:
 
 
 def sales_lags() -> dict[str, Column]:
-    return {f"sales_lag_{n}": F.lag("log_sales", n).over(by_day()) for n in SALES_LAGS}
+    return {f"sales_lag_{n}": F.expr(f"lag(log_sales, {n}) OVER ({BY_DAY})") for n in SALES_LAGS}
 
 
-def _running(value: Column, delay: int) -> Column:
+def _running(value: str, delay: int) -> str:
     """Sum of all days up to `delay` days back."""
-    before = by_day().rowsBetween(Window.unboundedPreceding, -delay)
-    return F.coalesce(F.sum(value).over(before), F.lit(0))
+    frame = f"ROWS BETWEEN UNBOUNDED PRECEDING AND {-delay} FOLLOWING"
+    return f"coalesce(sum({value}) OVER ({BY_DAY} {frame}), 0)"
+
+
+def _rolling(value: str, span: int, delay: int) -> str:
+    """Sum of the `span` days up to `delay` days back, as a difference of running sums.
+
+    The cost per row does not grow with the span. Whole numbers only: their sums are exact.
+    """
+    return f"({_running(value, delay)} - {_running(value, delay + span)})"
 
 
 def rolling_means() -> dict[str, Column]:
     """Means over the delayed days that have sales; shorter at the start of a series.
 
-    Each is the difference of two running sums, so the cost per row does not grow with the
-    span. The sums are 64-bit counts of a tiny unit, which makes the difference exact; the
-    unit moves a mean by less than 1e-12.
+    Log sales are summed as 64-bit counts of a tiny unit, which moves a mean by less than 1e-12.
     """
-    sales = F.rint(F.col("log_sales") * LOG_UNITS).cast("long")
-    known = F.col("log_sales").isNotNull().cast("int")
-    columns = {}
-    for span in MEAN_SPANS:
-        total, n = (_running(v, HORIZON) - _running(v, HORIZON + span) for v in (sales, known))
-        columns[f"sales_roll_mean_{span}"] = F.when(n > 0, total / n / LOG_UNITS)
-    return columns
+    units = f"CAST(rint(log_sales * {LOG_UNITS}D) AS BIGINT)"
+    known = "CAST(log_sales IS NOT NULL AS INT)"
+    return {
+        f"sales_roll_mean_{n}": F.expr(
+            f"try_divide({_rolling(units, n, HORIZON)}, {_rolling(known, n, HORIZON)}) / {LOG_UNITS}D"
+        )
+        for n in MEAN_SPANS
+    }
 
 
 def rolling_stds() -> dict[str, Column]:
@@ -68,9 +72,9 @@ def rolling_stds() -> dict[str, Column]:
     slide.
     """
     return {
-        f"sales_roll_std_{n}": F.coalesce(
-            F.stddev_samp("log_sales").over(by_day().rowsBetween(1 - n - HORIZON, -HORIZON)),
-            F.lit(0.0),
+        f"sales_roll_std_{n}": F.expr(
+            f"coalesce(stddev_samp(log_sales) OVER ({BY_DAY}"
+            f" ROWS BETWEEN {HORIZON + n - 1} PRECEDING AND {HORIZON} PRECEDING), 0D)"
         )
         for n in STD_SPANS
     }
@@ -78,22 +82,21 @@ def rolling_stds() -> dict[str, Column]:
 
 def sales_ewma(spec: DemandSpec) -> dict[str, Column]:
     return {
-        name: ewma(
-            F.col("log_sales"), alpha, by_day(), spec.calendar_start, spec.n_days, shift=HORIZON
-        )
+        name: ewma("log_sales", alpha, SERIES, spec.calendar_start, spec.n_days, shift=HORIZON)
         for name, alpha in EWM_ALPHAS.items()
     }
 
 
 def promo_windows() -> dict[str, Column]:
     """Promotions are planned ahead, so the current day counts too."""
-    recent, days = (
-        _running(v, 0) - _running(v, PROMO_SPAN) for v in (F.col("onpromotion"), F.lit(1))
-    )
     return {
-        "promo_lag_0": F.col("onpromotion").cast("double"),
-        "promo_lag_16": F.lag("onpromotion", HORIZON, 0).over(by_day()).cast("double"),
-        "promo_roll_mean_14": recent / days,
+        "promo_lag_0": F.expr("CAST(onpromotion AS DOUBLE)"),
+        "promo_lag_16": F.expr(
+            f"CAST(coalesce(lag(onpromotion, {HORIZON}) OVER ({BY_DAY}), 0) AS DOUBLE)"
+        ),
+        "promo_roll_mean_14": F.expr(
+            f"{_rolling('onpromotion', PROMO_SPAN, 0)} / {_rolling('1', PROMO_SPAN, 0)}"
+        ),
     }
 
 

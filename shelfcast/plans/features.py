@@ -17,14 +17,23 @@ def with_time_features(df: DataFrame) -> DataFrame:
 
 
 def fill_warm_up(df: DataFrame) -> DataFrame:
-    """Zero for every missing lag, rolling or weighted mean."""
-    return df.fillna(0.0, subset=[c for c in df.columns if c.startswith(WARM_UP)])
+    """Zero for every missing lag, rolling or weighted mean.
+
+    `fillna` would also look for NaN, which ingestion has removed; its longer code keeps the
+    JVM from compiling the projection of the wide table.
+    """
+    warm = [c for c in df.columns if c.startswith(WARM_UP)]
+    return df.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in warm})
 
 
 def build_features(master: DataFrame, spec: DemandSpec) -> DataFrame:
     """54 columns from the feature start date on.
 
-    The date filter comes after the windows: they need the days before it.
+    The date filter comes after the windows: they need the days before it. Calendar columns
+    follow the windows, which so carry fewer columns, and are then put before the lags.
     """
-    df = with_lag_features(with_time_features(master), spec)
-    return fill_warm_up(df.filter(F.col("date") >= F.lit(spec.feature_start)))
+    windowed = with_lag_features(master, spec)
+    kept = fill_warm_up(windowed.filter(F.col("date") >= F.lit(spec.feature_start)))
+    df = with_time_features(kept)
+    time_columns = df.columns[len(windowed.columns) :]
+    return df.select(*master.columns, *time_columns, *windowed.columns[len(master.columns) :])

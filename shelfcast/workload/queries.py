@@ -36,7 +36,7 @@ from shelfcast.plans.features import build_features, fill_warm_up
 from shelfcast.plans.jobs import fit_models, with_model_predictions
 from shelfcast.sources.ingest import typed
 from shelfcast.spec import SERIES, feature_columns
-from shelfcast.workload.tables import SPEC, read, retail_tables
+from shelfcast.workload.tables import SPEC, RetailTables, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,14 +56,13 @@ def rounded(c: Column, digits: int = DIGITS) -> Column:
 def digest(
     df: DataFrame, by: tuple[str, ...], columns: list[str], digits: tuple[int, int] = (6, 5)
 ) -> DataFrame:
-    day_nbr = F.datediff("date", F.lit(SPEC.calendar_start))
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    day_nbr = f"datediff(date, DATE '{SPEC.calendar_start}')"
+    aggs = [F.expr("count(1) AS n_rows")]
     for c in columns:
-        v = F.col(c).cast("double")
         aggs += [
-            F.count(c).alias(f"{c}_known"),
-            rounded(F.avg(v), digits[0]).alias(f"{c}_mean"),
-            rounded(F.avg(v * day_nbr), digits[1]).alias(f"{c}_by_day"),
+            F.expr(f"count({c}) AS {c}_known"),
+            F.expr(f"round(avg(CAST({c} AS DOUBLE)), {digits[0]}) AS {c}_mean"),
+            F.expr(f"round(avg(CAST({c} AS DOUBLE) * {day_nbr}), {digits[1]}) AS {c}_by_day"),
         ]
     return df.groupBy(*by).agg(*aggs)
 
@@ -72,12 +71,12 @@ def digest(
 
 
 def full_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return continuous_grid(t.train, t.test, SPEC)
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     grid = continuous_grid(t.train, t.test, SPEC)
     return gold_master(grid, t.stores, oil_daily(t.oil, SPEC), effective_holidays(t.holidays), SPEC)
 
@@ -91,7 +90,7 @@ def baseline_features(grid: DataFrame) -> DataFrame:
 def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation rows with actual sales and baseline predictions; reads recent days only."""
     first_day = SPEC.val_start - timedelta(days=LOOKBACK_DAYS)
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     recent = t.train.filter(F.col("date") >= F.lit(first_day))
     grid = continuous_grid(recent, t.test, SPEC.since(first_day))
     in_val = F.col("date").between(F.lit(SPEC.val_start), F.lit(SPEC.last_train_day))
@@ -100,7 +99,7 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forecast for every series and test day: the moving-average baseline."""
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     spec = SPEC.since(SPEC.test_start - timedelta(days=LOOKBACK_DAYS))
     ahead = baseline_features(continuous_grid(t.train, t.test, spec)).filter("is_test")
     return ahead.select(
@@ -114,7 +113,7 @@ def horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def typed_sales(spark, sf_dir):
     """Sales rows as text, with promotions of none left blank, cast back to types."""
-    train = retail_tables(spark, sf_dir).train
+    train = RetailTables(spark, sf_dir).train
     blank = F.when(F.col("onpromotion") > 0, F.col("onpromotion"))
     text = train.withColumn("onpromotion", blank).select(*[F.col(c).cast("string") for c in train.columns])
     return digest(typed(text), ("family",), ["id", "store_nbr", "sales", "onpromotion"])
@@ -122,7 +121,7 @@ def typed_sales(spark, sf_dir):
 
 @query
 def union_parts(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     rows = union_sales(t.train, t.test)
     return rows.groupBy("store_nbr").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -134,7 +133,7 @@ def union_parts(spark, sf_dir):
 
 @query
 def series_list(spark, sf_dir):
-    return series_catalogue(retail_tables(spark, sf_dir).train).orderBy(*SERIES)
+    return series_catalogue(RetailTables(spark, sf_dir).train).orderBy(*SERIES)
 
 
 @query
@@ -167,21 +166,21 @@ def grid_gap_profile(spark, sf_dir):
 
 @query
 def oil_interpolated(spark, sf_dir):
-    oil = oil_daily(retail_tables(spark, sf_dir).oil, SPEC)
+    oil = oil_daily(RetailTables(spark, sf_dir).oil, SPEC)
     return oil.select("date", *[rounded(F.col(c), 9).alias(c) for c in oil.columns[1:]])
 
 
 @query
 def holiday_calendar(spark, sf_dir):
     """Effective holidays with the sales of their day."""
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return effective_holidays(t.holidays).join(profile.daily_totals(t.train), "date", "left")
 
 
 @query
 def holiday_flags(spark, sf_dir):
     """Observed sales under each kind of holiday, by city."""
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     rows = with_holiday_flags(
         t.train.join(t.stores, "store_nbr"), effective_holidays(t.holidays), SPEC
     )
@@ -191,7 +190,7 @@ def holiday_flags(spark, sf_dir):
 
 @query
 def holiday_flags_without_work_days(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     rows = with_holiday_flags(
         t.train.join(t.stores, "store_nbr"), effective_holidays(t.holidays), SPEC, ("Work Day",)
     )
@@ -200,7 +199,7 @@ def holiday_flags_without_work_days(spark, sf_dir):
 
 @query
 def shock_flag(spark, sf_dir):
-    rows = with_shock_flag(retail_tables(spark, sf_dir).train, SPEC)
+    rows = with_shock_flag(RetailTables(spark, sf_dir).train, SPEC)
     return rows.groupBy("store_nbr", "is_earthquake_period").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
@@ -218,14 +217,14 @@ def gold_digest(spark, sf_dir):
 
 @query
 def calendar_features(spark, sf_dir):
-    days = retail_tables(spark, sf_dir).train.select("date").distinct()
+    days = RetailTables(spark, sf_dir).train.select("date").distinct()
     columns = {n: rounded(c, 6) if n[:4] in ("sin_", "cos_") else c for n, c in calendar_columns().items()}
     return days.withColumns(columns)
 
 
 @query
 def payday_features(spark, sf_dir):
-    days = retail_tables(spark, sf_dir).train.select("date").distinct()
+    days = RetailTables(spark, sf_dir).train.select("date").distinct()
     return days.withColumns(payday_columns())
 
 
@@ -296,7 +295,7 @@ def split_parts(spark, sf_dir):
 @query
 def split_by_date(spark, sf_dir):
     """The same cut on rows without a test flag, per store."""
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     rows = t.train.unionByName(t.actuals)
     parts = temporal_split(rows, SPEC.val_days, SPEC.test_start)
     return parts.groupBy("store_nbr", "split").agg(
@@ -322,7 +321,7 @@ def scores_by_family(spark, sf_dir):
 @query
 def scores_on_test(spark, sf_dir):
     """Forecasts of the horizon scored on the sales kept aside."""
-    actuals = retail_tables(spark, sf_dir).actuals.select("id", F.col("sales").alias("actual"))
+    actuals = RetailTables(spark, sf_dir).actuals.select("id", F.col("sales").alias("actual"))
     return _rounded_scores(evaluate(horizon(spark, sf_dir).join(actuals, "id"), "actual", "sales_pred"))
 
 
@@ -360,7 +359,7 @@ def benchmark_table(spark, sf_dir):
 
 @query
 def dataset_sizes(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return profile.dataset_profile(
         {
             "train": t.train,
@@ -375,12 +374,12 @@ def dataset_sizes(spark, sf_dir):
 
 @query
 def daily_totals(spark, sf_dir):
-    return profile.daily_totals(retail_tables(spark, sf_dir).train)
+    return profile.daily_totals(RetailTables(spark, sf_dir).train)
 
 
 @query
 def shock_day_total(spark, sf_dir):
-    return profile.total_on(retail_tables(spark, sf_dir).train, SPEC.shock_start)
+    return profile.total_on(RetailTables(spark, sf_dir).train, SPEC.shock_start)
 
 
 def _filled(spark, sf_dir) -> DataFrame:
@@ -402,19 +401,19 @@ def zero_share_by_family(spark, sf_dir):
 
 @query
 def weekday_profile(spark, sf_dir):
-    df = profile.weekday_profile(retail_tables(spark, sf_dir).train)
+    df = profile.weekday_profile(RetailTables(spark, sf_dir).train)
     return df.withColumn("mean_sales", rounded(F.col("mean_sales"), 6))
 
 
 @query
 def month_day_profile(spark, sf_dir):
-    df = profile.month_day_profile(retail_tables(spark, sf_dir).train)
+    df = profile.month_day_profile(RetailTables(spark, sf_dir).train)
     return df.withColumn("mean_sales", rounded(F.col("mean_sales"), 6))
 
 
 @query
 def year_totals(spark, sf_dir):
-    df = profile.year_totals(retail_tables(spark, sf_dir).train)
+    df = profile.year_totals(RetailTables(spark, sf_dir).train)
     return df.withColumn("sales_millions", rounded(F.col("sales_millions"), 6))
 
 
@@ -423,43 +422,43 @@ YEARS = list(range(SPEC.calendar_start.year, SPEC.calendar_end.year + 1))
 
 @query
 def month_year_matrix(spark, sf_dir):
-    df = profile.month_year_matrix(retail_tables(spark, sf_dir).train, YEARS)
+    df = profile.month_year_matrix(RetailTables(spark, sf_dir).train, YEARS)
     return df.select("month", *[rounded(F.col(str(y)), 6).alias(f"y{y}") for y in YEARS])
 
 
 @query
 def promo_share_by_month(spark, sf_dir):
-    df = profile.promo_share_by_month(retail_tables(spark, sf_dir).train)
+    df = profile.promo_share_by_month(RetailTables(spark, sf_dir).train)
     return df.withColumn("promo_pct", rounded(F.col("promo_pct"), 6))
 
 
 @query
 def pareto(spark, sf_dir):
-    df = profile.pareto(retail_tables(spark, sf_dir).train)
+    df = profile.pareto(RetailTables(spark, sf_dir).train)
     return df.withColumns({c: rounded(F.col(c), 6) for c in ("share_pct", "cumulative_pct")})
 
 
 @query
 def store_totals(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return profile.store_totals(t.train, t.stores)
 
 
 @query
 def store_type_boxes(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return profile.store_type_boxes(t.train, t.stores)
 
 
 @query
 def top_cities(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     return profile.top_cities(t.train, t.stores)
 
 
 @query
 def top_families(spark, sf_dir):
-    return profile.top_groups(retail_tables(spark, sf_dir).train, "family", 15)
+    return profile.top_groups(RetailTables(spark, sf_dir).train, "family", 15)
 
 
 # ----------------------------------------------------------------------- forecast views
@@ -518,7 +517,7 @@ def promo_scenarios(spark, sf_dir):
 
 @query
 def promo_plan(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     observed = t.test.join(horizon(spark, sf_dir).select("id", "sales_pred"), "id")
     return reports.promo_plan(observed)
 

@@ -7,7 +7,7 @@ the mean order value of a day stands for the oil price. See FIXTURES in the READ
 from __future__ import annotations
 
 from datetime import date
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,18 +39,23 @@ HOLIDAYS = (
 )
 
 
-class RetailTables(NamedTuple):
-    train: DataFrame
-    test: DataFrame
-    actuals: DataFrame  # the test part with its sales, for scoring checks only
-    stores: DataFrame
-    oil: DataFrame
-    holidays: DataFrame
-    transactions: DataFrame
+# Columns in use; a stated schema saves a job that looks into the files.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_discount double,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "orders": "o_totalprice double, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_type string",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey long, c_nationkey int",
+}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def sales_cells(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC) -> DataFrame:
@@ -150,16 +155,41 @@ def store_transactions(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC
     )
 
 
-def retail_tables(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC) -> RetailTables:
-    cells = sales_cells(spark, sf_dir, spec)
-    future = F.col("date") >= F.lit(spec.test_start)
-    actuals = cells.filter(future)
-    return RetailTables(
-        train=cells.filter(~future),
-        test=actuals.drop("sales"),
-        actuals=actuals,
-        stores=store_dimension(spark, sf_dir),
-        oil=oil_prices(spark, sf_dir),
-        holidays=holiday_events(spark, spec),
-        transactions=store_transactions(spark, sf_dir, spec),
-    )
+class RetailTables:
+    """The inputs of one data set, each made on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC):
+        self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return sales_cells(self.spark, self.sf_dir, self.spec)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self.cells.filter(F.col("date") < F.lit(self.spec.test_start))
+
+    @cached_property
+    def actuals(self) -> DataFrame:
+        """The test part with its sales, for scoring checks only."""
+        return self.cells.filter(F.col("date") >= F.lit(self.spec.test_start))
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return self.actuals.drop("sales")
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return store_dimension(self.spark, self.sf_dir)
+
+    @cached_property
+    def oil(self) -> DataFrame:
+        return oil_prices(self.spark, self.sf_dir)
+
+    @cached_property
+    def holidays(self) -> DataFrame:
+        return holiday_events(self.spark, self.spec)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return store_transactions(self.spark, self.sf_dir, self.spec)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.lags import with_lag_features
 from shelfcast.workload import queries as q
-from shelfcast.workload.tables import SPEC, retail_tables
+from shelfcast.workload.tables import SPEC, RetailTables
 
 
 def plan(df):
@@ -43,7 +43,7 @@ def test_recent_days_only_are_read(spark, sf_dir):
 
 
 def test_short_calendar_gives_the_same_scores(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = RetailTables(spark, sf_dir)
     long = q.baseline_features(q.continuous_grid(t.train, t.test, SPEC))
     in_val = F.col("date").between(F.lit(SPEC.val_start), F.lit(SPEC.test_start - timedelta(days=1)))
     long = q.with_baselines(long.filter(in_val)).filter("sales IS NOT NULL")

@@ -5,7 +5,6 @@ from datetime import date, timedelta
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import lags
@@ -115,8 +114,7 @@ def test_weighted_mean_over_many_eras(spark, alpha):
         (first + timedelta(days=i), None if np.isnan(v) else float(v)) for i, v in enumerate(x)
     ]
     df = spark.createDataFrame(rows, "date date, x double").withColumn("k", F.lit(1))
-    w = Window.partitionBy("k").orderBy("date")
-    result = df.select("date", ewma(F.col("x"), alpha, w, first, n, shift=5).alias("y")).toPandas()
+    result = df.select("date", ewma("x", alpha, ("k",), first, n, shift=5).alias("y")).toPandas()
     expected = pd.Series(x).shift(5).ewm(alpha=alpha, min_periods=1).mean()
     # pandas keeps the last mean over a gap too, as long as its weight has not underflowed
     same(result.sort_values("date")["y"].reset_index(drop=True), expected)
