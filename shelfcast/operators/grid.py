@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfcast.functions.calendar import on_month_day
 from shelfcast.spec import CELL, SERIES, DemandSpec
 
-# Families are matched to stores bucket by bucket; the bucket count sets the parallelism.
-PRODUCT_BUCKETS = 64
+# Stores and families are paired block by block; the square of this is the number of blocks.
+PRODUCT_BUCKETS = 32
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -21,17 +21,19 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def series_catalogue(train: DataFrame) -> DataFrame:
     """Every store paired with every family.
 
-    The product itself is the result here. It is built as an equi-join on a hash bucket of
-    the family, so it runs in as many tasks as there are buckets and broadcasts nothing.
+    The product itself is the result here. Stores fall into row blocks and families into column
+    blocks, each copied along the other axis, so it is an equi-join on the block that spreads
+    over many tasks and needs neither side in memory.
     """
     pairs = train.select(*SERIES).distinct()
-    stores = distinct_values(pairs, "store_nbr").withColumn(
-        "bucket", F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_BUCKETS - 1)))
-    )
-    families = distinct_values(pairs, "family").withColumn(
-        "bucket", F.pmod(F.hash("family"), F.lit(PRODUCT_BUCKETS))
-    )
-    return stores.join(families, "bucket").select(*SERIES)
+    every = F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_BUCKETS - 1)))
+
+    def blocks(column: str, own: str, other: str) -> DataFrame:
+        bucket = F.pmod(F.hash(column), F.lit(PRODUCT_BUCKETS))
+        return distinct_values(pairs, column).select(column, bucket.alias(own), every.alias(other))
+
+    stores, families = blocks("store_nbr", "row", "col"), blocks("family", "col", "row")
+    return stores.join(families, ["row", "col"]).select(*SERIES)
 
 
 def union_sales(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -85,9 +87,10 @@ def continuous_grid(
             }
         )
         .filter("known = 1")
-        .withColumn("day", F.explode(F.sequence("date", F.date_sub("until", 1))))
+        .withColumn("ahead", F.explode(F.sequence(F.lit(0), F.datediff("until", "date") - 1)))
+        .withColumn("day", F.date_add("date", F.col("ahead")))
     )
-    seen = F.col("day") == F.col("date")
+    seen = F.col("ahead") == 0
     closed = on_month_day("day", spec.closures)
     return dense.select(
         F.col("day").alias("date"),

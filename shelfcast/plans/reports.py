@@ -47,8 +47,13 @@ def planned_promotions(forecasts: DataFrame) -> DataFrame:
 
 
 def store_cards(df: DataFrame) -> DataFrame:
-    """One row of attributes per store."""
-    return df.select("store_nbr", "city", "state", "type", "cluster").dropDuplicates(["store_nbr"])
+    """One row of attributes per store.
+
+    `distinct` hashes and shrinks the rows first; dropping duplicates of a key alone would sort
+    them all.
+    """
+    cards = df.select("store_nbr", "city", "state", "type", "cluster").distinct()
+    return cards.dropDuplicates(["store_nbr"])
 
 
 def last_history(df: DataFrame, n: int = HISTORY_DAYS) -> DataFrame:
