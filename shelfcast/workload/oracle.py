@@ -376,7 +376,7 @@ ORACLES: dict[str, str] = {
     ),
     "oil_interpolated": with_ctes(
         "SELECT date, "
-        + ", ".join(f"{rounded(c, 9)} AS {c}" for c in ("dcoilwtico", "oil_ma7", "oil_ma30"))
+        + ", ".join(f"{c}::FLOAT::DOUBLE AS {c}" for c in ("dcoilwtico", "oil_ma7", "oil_ma30"))
         + " FROM oil_daily",
         "oil_daily",
     ),

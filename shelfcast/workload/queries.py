@@ -166,8 +166,9 @@ def grid_gap_profile(spark, sf_dir):
 
 @query
 def oil_interpolated(spark, sf_dir):
+    """Prices rounded to float32: decimal rounding would meet exact ties here."""
     oil = oil_daily(RetailTables(spark, sf_dir).oil, SPEC)
-    return oil.select("date", *[rounded(F.col(c), 9).alias(c) for c in oil.columns[1:]])
+    return oil.select("date", *[F.col(c).cast("float").cast("double").alias(c) for c in oil.columns[1:]])
 
 
 @query
