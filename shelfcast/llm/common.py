@@ -140,12 +140,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(raw + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = IS_SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of texts laid end to end, and the number of words up to each text's start.
 
-    `offsets` has the first byte of every text and the end of the last.
+    `offsets` has the first byte of every text and the end of the last; `separators` says of every byte value
+    whether it parts words.
     """
-    inside = ~IS_SEPARATOR[data]
+    inside = ~separators[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[offsets] = True
     before = np.concatenate(([False], inside[:-1]))

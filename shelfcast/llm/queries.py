@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.toxicity import toxicity_scores
 from shelfcast.llm.winnowing import fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +25,14 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op6_winnowing": op6_winnowing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
