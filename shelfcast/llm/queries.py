@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.toxicity import toxicity_scores
+from shelfcast.llm.warc import LEAST_REVISIT, archived_pages
 from shelfcast.llm.winnowing import fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = archived_pages(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -31,8 +37,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_warc": op5_warc,
     "op6_winnowing": op6_winnowing,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc": f"""
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload,
+                strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM payloads
+            WHERE payload_bytes >= {LEAST_REVISIT} GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM payloads LEFT JOIN firsts USING (payload_digest)""",
+}
