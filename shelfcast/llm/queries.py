@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.llm.jaccard_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
 from shelfcast.llm.toxicity import toxicity_scores
@@ -19,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op6_winnowing": op6_winnowing,
