@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.llm.jaccard_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
+from shelfcast.llm.suffix_dedup import repeated_passages
 from shelfcast.llm.toxicity import toxicity_scores
 from shelfcast.llm.warc import LEAST_REVISIT, archived_pages
 from shelfcast.llm.winnowing import fingerprints
@@ -24,6 +25,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op6_winnowing": op6_winnowing,
