@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import (
     LOWER,
+    WORD,
     Scratch,
     U,
     arrow_schema,
@@ -134,7 +135,7 @@ def keys(own: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-PROFILE = "doc_id long, n_shingles long, fp long"
+PROFILE = "doc_id long, th long, n_shingles long, fp long"
 PACKED = "bucket int, keys binary, fps binary"
 
 
@@ -144,7 +145,8 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = [(len(own), fingerprint(own) if len(own) else 0) for own in shingle_sets(batch.column("text"))]
         counts, fps = zip(*facts, strict=True) if facts else ((), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(fps, pa.int64())], schema=schema
+            [batch.column("doc_id"), batch.column("th"), pa.array(counts, pa.int64()), pa.array(fps, pa.int64())],
+            schema=schema,
         )
 
 
@@ -392,7 +394,8 @@ def near_duplicates(
     scratch: Scratch | None = None,
     sample_of_hot: int = HOT_IN_SAMPLE,
 ) -> DataFrame:
-    """Per row of `docs`: doc_id, n_shingles, component_id, the smallest id that links reach.
+    """Per row of `docs`: doc_id, n_shingles, component_id, the smallest id that links reach; then `th`, the text's
+    xxhash64, and `component`, a number for the component (null for texts without words).
 
     Two documents link when 100 * shared shingles >= 80 * all shingles of both. Texts without words (null too) have
     no shingles and link with nothing: their component is their own id. Equal sets are one class, so copies
@@ -412,7 +415,8 @@ def near_duplicates(
     ship(spark)
     scratch = scratch or Scratch(spark, "jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    profile = scratch.store(texts.mapInArrow(_profiles, PROFILE))
+    hashed = texts.withColumn("th", F.xxhash64("text"))
+    profile = scratch.store(hashed.mapInArrow(_profiles, PROFILE))
     facts = profile.agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("rows")).first()
     total = facts["shingles"] or 0
 
@@ -487,7 +491,35 @@ def near_duplicates(
         "component", F.coalesce("component", "fp")
     )
     of_component = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
-    answer = of_class.join(of_component, "component").select("fp", "component_id")
-    some = profile.filter("n_shingles > 0").join(answer, "fp").select("doc_id", "n_shingles", "component_id", "fp")
-    none = profile.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("fp"))
-    return some.union(none)
+    answer = of_class.join(of_component, "component").select("fp", "component_id", "component")
+    names = ["doc_id", "n_shingles", "component_id", "th", "component"]
+    some = profile.filter("n_shingles > 0").join(answer, "fp").select(*names)
+    none = profile.filter("n_shingles = 0").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}
+    )
+    return some.union(none.select(*names))
+
+
+def one_of_each_group(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """`docs` (doc_id, text, others) with one row of every group of near duplicates: that with the smallest id (null
+    last), then the smallest text hash; of rows equal in both, the first by all columns. Texts without words are
+    in no group, and all stay. Columns stay as they are.
+    """
+    facts = near_duplicates(docs, scratch=scratch)
+    key = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("th").alias("_th"))
+    rows = facts.filter("component IS NOT NULL").groupBy("component", key.alias("k")).agg(F.count("*").alias("n"))
+    leaders = rows.groupBy("component").agg(F.min(F.struct("k", "n")).alias("x")).select("x.k.*", (F.col("x.n") > 1).alias("many"))
+    text = F.col("text").cast("string")
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")  # so that no name of theirs clashes
+    keyed = docs.select(
+        whole,
+        F.col("doc_id").isNull().alias("late"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
+        F.xxhash64(text).alias("_th"),
+    )
+    chosen = keyed.join(leaders, ["late", "_id", "_th"])
+    lone = chosen.filter("NOT many").select("row.*")
+    # Equal rows: one of each key, picked before the shuffle where they lie together.
+    crowded = chosen.filter("many").groupBy("late", "_id", "_th").agg(F.min("row").alias("row")).select("row.*")
+    wordless = docs.filter(F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)) == 0)
+    return lone.unionByName(crowded).unionByName(wordless)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfcast.llm.common import BYTE_CODES, Scratch, U, arrow_schema, ceil_div, mix, ship, shuffle_partitions, text_pieces
 
@@ -110,11 +111,11 @@ def _contexts(blocks: int, hot: bool):
                     text = data[offsets[k - i] : offsets[k - i + 1]]
                     places, h, first = anchors(text)
                     last = np.append(first[1:], len(text) - MATCH + 1) - 1
-                    listed = batch.column("places")[k].values
+                    listed = batch.column("__places")[k].values
                     there = listed.field("place").to_numpy()
                     again = np.isin(places, there)
                     is_hot = np.isin(places, there[listed.field("hot").to_numpy(zero_copy_only=False)])
-                    doc_id, th = batch.column("doc_id")[k].as_py(), batch.column("th")[k].as_py()
+                    doc_id, th = batch.column("__id")[k].as_py(), batch.column("__th")[k].as_py()
                     for a in np.flatnonzero(again & (is_hot == hot)):
                         lo, hi = int(first[a]), int(last[a])
                         piece = text[lo : hi + MATCH].tobytes()
@@ -237,7 +238,11 @@ def _block_spans(keep_first: bool):
     schema = arrow_schema(SPANS)
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("th", "ascending"), ("start", "ascending")])
+        names = ["h", "doc_id", "th", "start"]
+        table = table.sort_by([(n, "ascending") for n in names])
+        if keep_first and table.num_rows > 1:  # rows equal in id and text are one document
+            keys = np.stack([table.column(n).to_numpy() for n in names])
+            table = table.filter(pa.array(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))))
         h = table.column("h").to_numpy()
         size = pa.compute.binary_length(table.column("bytes")).to_numpy()
         doc_id, th, start = (table.column(c) for c in ("doc_id", "th", "start"))
@@ -285,20 +290,31 @@ def union_of(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts[head], reach[np.append(np.flatnonzero(head)[1:] - 1, len(reach) - 1)]
 
 
-def repeated_spans(docs: DataFrame, keep_first: bool, scratch: Scratch, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(documents keyed by id and text hash, their spans of repeated bytes as unmerged rows)."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), text.alias("text")).withColumn(
-        "th", F.xxhash64("text")
+def keyed_texts(docs: DataFrame, *others: str) -> DataFrame:
+    """text (never null) and the key of its place order, __id (null first) and __th, the text's hash; the other
+    columns go along in the struct __row, where no name clashes."""
+    return docs.select(
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("__id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__th"),
+        *([F.struct(*[F.col(c) for c in others]).alias("__row")] if others else []),
     )
-    rows = keyed.filter(F.octet_length("text") >= MATCH).mapInArrow(_anchor_rows, ANCHOR)
+
+
+def repeated_spans(keyed: DataFrame, keep_first: bool, scratch: Scratch, hot: int = HOT) -> DataFrame:
+    """Spans of repeated bytes of each text of `keyed`, gathered: __id, __th, __spans (unmerged)."""
+    spark = keyed.sparkSession
+    short = keyed.select(F.col("__id").alias("doc_id"), F.col("__th").alias("th"), "text")
+    rows = short.filter(F.octet_length("text") >= MATCH).mapInArrow(_anchor_rows, ANCHOR)
     found = rows.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1")
     # Summed before the shuffle; the join deals a hot anchor's rows by adaptive splitting.
     again = scratch.store(rows.join(found, "h").select("doc_id", "th", "place", (F.col("times") > hot).alias("hot")).distinct())
     facts = again.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot")).first()
-    listed = again.groupBy("doc_id", "th").agg(F.collect_list(F.struct("place", "hot")).alias("places"))
-    with_places = keyed.join(listed, ["doc_id", "th"]).select("doc_id", "th", "text", "places")
+    listed = again.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
+        F.collect_list(F.struct("place", "hot")).alias("__places")
+    )
+    # All columns go along, so that this shuffle of the texts is the one that the last join uses.
+    with_places = keyed.join(listed, ["__id", "__th"])
     blocks = max(shuffle_partitions(spark), ceil_div(facts["n"] * (MATCH + SPAN // 2), BLOCK_BYTES))
     spans = with_places.mapInArrow(_contexts(blocks, False), CONTEXT).groupBy("block").applyInArrow(_block_spans(keep_first), SPANS)
     if facts["hot"]:
@@ -309,7 +325,9 @@ def repeated_spans(docs: DataFrame, keep_first: bool, scratch: Scratch, hot: int
         if keep_first:
             over = over.filter(F.struct("doc_id", "th", "start") != F.col("first"))
         spans = spans.unionByName(over.select("doc_id", "th", "start", (F.col("start") + MATCH).alias("stop")))
-    return keyed, spans
+    return spans.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
+        F.collect_list(F.struct("start", "stop")).alias("__spans")
+    )
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -319,9 +337,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(RESULT)
     for batch in batches:
         rows = []
-        for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+        for k, doc_id in enumerate(batch.column("__id").to_pylist()):
             text = batch.column("text")[k].as_py().encode()
-            low, high = _merged(batch.column("spans")[k])
+            low, high = _merged(batch.column("__spans")[k])
             kept = b"".join(text[a:z] for a, z in zip([0, *high], [*low, len(text)], strict=True))
             rows.append((None if doc_id == -(1 << 63) else doc_id, len(text), len(text) - len(kept), len(low), hashlib.sha256(kept).hexdigest()))
         yield _batch(rows, schema) if rows else pa.RecordBatch.from_pylist([], schema=schema)
@@ -335,11 +353,6 @@ def _merged(spans: pa.Scalar) -> tuple[list[int], list[int]]:
     return low.tolist(), high.tolist()
 
 
-def _with_spans(keyed: DataFrame, spans: DataFrame) -> DataFrame:
-    gathered = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return keyed.join(gathered, ["doc_id", "th"], "left")
-
-
 def repeated_passages(docs: DataFrame, scratch: Scratch | None = None, hot: int = HOT) -> DataFrame:
     """Per row of `docs` (doc_id, text): n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256, the
     hash of what is left when every byte goes that a string of MATCH bytes covers which also starts elsewhere.
@@ -350,8 +363,9 @@ def repeated_passages(docs: DataFrame, scratch: Scratch | None = None, hot: int
     """
     ship(docs.sparkSession)
     scratch = scratch or Scratch(docs.sparkSession, "suffix")
-    keyed, spans = repeated_spans(docs, False, scratch, hot)
-    return _with_spans(keyed, spans).select("doc_id", "text", "spans").mapInArrow(_digests, RESULT)
+    keyed = keyed_texts(docs)
+    spans = repeated_spans(keyed, False, scratch, hot)
+    return keyed.join(spans, ["__id", "__th"], "left").mapInArrow(_digests, RESULT)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +374,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for k in range(batch.num_rows):
             text = batch.column("text")[k].as_py().encode()
-            low, high = _merged(batch.column("spans")[k])
+            low, high = _merged(batch.column("__spans")[k])
             kept, at = [], 0
             for a, z in zip(low, high, strict=True):
                 while a < z and text[a] & 0xC0 == 0x80:
@@ -371,7 +385,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = z
             texts.append(b"".join([*kept, text[at:]]).decode())
         index = batch.schema.get_field_index("text")
-        yield batch.set_column(index, "text", pa.array(texts, pa.string())).drop_columns(["spans"])
+        yield batch.set_column(index, "text", pa.array(texts, pa.string())).drop_columns(["__spans"])
 
 
 def without_later_copies(docs: DataFrame, scratch: Scratch | None = None, hot: int = HOT) -> DataFrame:
@@ -382,13 +396,11 @@ def without_later_copies(docs: DataFrame, scratch: Scratch | None = None, hot: i
     """
     ship(docs.sparkSession)
     scratch = scratch or Scratch(docs.sparkSession, "suffix")
-    # Rows equal in id and text would be each other's earlier copy.
-    _, spans = repeated_spans(docs.select("doc_id", "text").distinct(), True, scratch, hot)
-    gathered = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    gathered = gathered.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
-    filled = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    on = (F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) == F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
-    joined = filled.join(gathered, on, "left").select(*docs.columns, "spans")
-    schema = joined.drop("spans").schema
-    cut = joined.mapInArrow(_cut, schema)
-    return cut.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+    others = [c for c in docs.columns if c != "text"]
+    keyed = keyed_texts(docs, *others)
+    joined = keyed.join(repeated_spans(keyed, True, scratch, hot), ["__id", "__th"], "left")
+    schema = StructType([StructField("__row", keyed.schema["__row"].dataType), StructField("text", StringType())])
+    cut = joined.select("__row", "text", "__spans").mapInArrow(_cut, schema)
+    counted = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    columns = {"text": F.col("text"), **{c: F.col("__row")[c] for c in others}, **counted}
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
