@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.llm.embedding_pq import near_vectors
 from shelfcast.llm.jaccard_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
@@ -42,6 +43,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op6_winnowing": op6_winnowing,
+    "op8_embedding_pq": op8_embedding_pq,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
