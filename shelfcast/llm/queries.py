@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.embedding_pq import near_vectors
+from shelfcast.llm.html_extract import extract_main_text
 from shelfcast.llm.jaccard_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
@@ -22,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -56,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extract": op1_html_extract,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mix_sources": op4_mix_sources,
