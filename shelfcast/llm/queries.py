@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.llm.embedding_pq import near_vectors
 from shelfcast.llm.html_extract import extract_main_text
 from shelfcast.llm.jaccard_join import near_duplicates
+from shelfcast.llm.licenses import license_scan
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
 from shelfcast.llm.suffix_dedup import repeated_passages
@@ -48,6 +49,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op6_winnowing": op6_winnowing,
+    "op7_license_scan": op7_license_scan,
     "op8_embedding_pq": op8_embedding_pq,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
