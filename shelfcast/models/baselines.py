@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.metrics import leaderboard
 from shelfcast.functions.scale import from_log
 
-# Model name -> log-scale feature it repeats, and its prediction column.
+# Model name -> log-scale feature it repeats, and its prediction column.
 BASELINES = {
     "Naive (Lag 16)": ("sales_lag_16", "pred_naive"),
     "Seasonal Naive (Lag 21)": ("sales_lag_21", "pred_seasonal_naive"),

@@ -22,18 +22,25 @@ def series_catalogue(train: DataFrame) -> DataFrame:
     """Every store paired with every family.
 
     The product itself is the result here. Stores fall into row blocks and families into column
-    blocks, each copied along the other axis, so it is an equi-join on the block that spreads
-    over many tasks and needs neither side in memory.
+    blocks, each copied along the other axis, and every block pairs its own; so it spreads over
+    many tasks and needs neither side in memory. One scan of the sales gives both sides.
     """
-    pairs = train.select(*SERIES).distinct()
-    every = F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_BUCKETS - 1)))
-
-    def blocks(column: str, own: str, other: str) -> DataFrame:
-        bucket = F.pmod(F.hash(column), F.lit(PRODUCT_BUCKETS))
-        return distinct_values(pairs, column).select(column, bucket.alias(own), every.alias(other))
-
-    stores, families = blocks("store_nbr", "row", "col"), blocks("family", "col", "row")
-    return stores.join(families, ["row", "col"]).select(*SERIES)
+    side = F.explode(F.array(F.struct(F.col("store_nbr"), F.lit(None).cast("string").alias("family")),
+                             F.struct(F.lit(None).cast(train.schema["store_nbr"].dataType).alias("store_nbr"), F.col("family"))))
+    sides = train.select(*SERIES).distinct().select(side.alias("s")).select("s.*").distinct()
+    every = F.sequence(F.lit(0), F.lit(PRODUCT_BUCKETS - 1))
+    of_store = F.col("family").isNull()
+
+    def own(column: str):
+        return F.array(F.pmod(F.hash(column), F.lit(PRODUCT_BUCKETS)))
+
+    blocks = (
+        sides.withColumn("row", F.explode(F.when(of_store, own("store_nbr")).otherwise(every)))
+        .withColumn("col", F.explode(F.when(of_store, every).otherwise(own("family"))))
+        .groupBy("row", "col")
+        .agg(F.collect_list("store_nbr").alias("stores"), F.collect_list("family").alias("families"))
+    )
+    return blocks.select(F.explode("stores").alias("store_nbr"), "families").select("store_nbr", F.explode("families").alias("family"))
 
 
 def union_sales(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -46,6 +53,7 @@ def continuous_grid(
     test: DataFrame,
     spec: DemandSpec,
     partitions: int | None = None,
+    catalogue: DataFrame | None = None,
 ) -> DataFrame:
     """One row per series and calendar day: date, store_nbr, family, id, sales, onpromotion,
     is_test, is_closed.
@@ -55,13 +63,17 @@ def continuous_grid(
     every cell fills the days up to the next one in place. The seed also marks the series of
     the catalogue, so rows of unknown stores or families fall away as in a left join.
 
+    `catalogue` (store_nbr, family, unique) names the series, such as a stored one, or the
+    observed pairs alone; without it, it is every store of `train` with every family.
+
     Sales are first summed to one row per cell with map-side combine, so a hot cell or series
     shrinks to at most one row per calendar day before it reaches a single task. The result
     stays hash-partitioned by series, which the feature windows use without another shuffle.
     """
     start, end = F.lit(spec.calendar_start), F.lit(spec.calendar_end)
     sales = union_sales(train, test).filter(F.col("date").between(start, end))
-    seeds = series_catalogue(train).select(*SERIES, start.alias("date"), F.lit(1).alias("seed"))
+    catalogue = series_catalogue(train) if catalogue is None else catalogue
+    seeds = catalogue.select(*SERIES, start.alias("date"), F.lit(1).alias("seed"))
     cells = (
         sales.select(*CELL, "id", "sales", "onpromotion")
         .unionByName(seeds, allowMissingColumns=True)

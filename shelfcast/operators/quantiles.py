@@ -64,6 +64,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), F.col(value)))
 
     lower, upper = at(F.floor("rank")), at(F.ceil("rank"))
+    missed = F.raise_error(F.lit("the sketch's bracket misses a quantile")).cast("double")
+    lower, upper = F.coalesce(lower, missed), F.coalesce(upper, missed)
     share = F.max(F.col("rank") - F.floor("rank"))
     quantiles = ranked.groupBy(*key).agg((lower + (upper - lower) * share).alias("quantile"))
     return quantiles.groupBy(group).agg(

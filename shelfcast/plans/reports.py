@@ -6,14 +6,15 @@ onpromotion and sales_pred.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.scale import promo_uplift, simulated_promotions
 from shelfcast.operators.grid import distinct_values
-from shelfcast.spec import SERIES
+from shelfcast.operators.sides import broadcast_dimension
+from shelfcast.spec import SERIES, DemandSpec
 
 # Change in promotions offered by the what-if table, in percent.
 PROMO_BOOSTS = tuple(range(-50, 101, 5))
@@ -56,20 +57,15 @@ def store_cards(df: DataFrame) -> DataFrame:
     return cards.dropDuplicates(["store_nbr"])
 
 
-def last_history(df: DataFrame, n: int = HISTORY_DAYS) -> DataFrame:
-    """The latest `n` days before the test part of every series."""
-    newest = Window.partitionBy(*SERIES).orderBy(F.desc("date"))
-    return (
-        df.filter(~F.col("is_test"))
-        .withColumn("nth", F.row_number().over(newest))
-        .filter(F.col("nth") <= n)
-        .drop("nth")
-    )
+def last_history(grid: DataFrame, spec: DemandSpec, n: int = HISTORY_DAYS) -> DataFrame:
+    """The latest `n` days before the test part of every series: the grid has every day, so it is a date range."""
+    first_day = spec.test_start - timedelta(days=n)
+    return grid.filter(~F.col("is_test") & (F.col("date") >= F.lit(first_day)))
 
 
-def demand_view(grid: DataFrame, forecasts: DataFrame, n: int = HISTORY_DAYS) -> DataFrame:
+def demand_view(grid: DataFrame, forecasts: DataFrame, spec: DemandSpec, n: int = HISTORY_DAYS) -> DataFrame:
     """Recent actuals and the forecast of every series in one long table."""
-    history = last_history(grid, n).select(
+    history = last_history(grid, spec, n).select(
         *SERIES, "date", "onpromotion", F.lit("actual").alias("kind"), F.col("sales").alias("units")
     )
     horizon = forecasts.select(
@@ -109,20 +105,23 @@ def promo_plan(forecasts: DataFrame, boosts: tuple[int, ...] = PROMO_BOOSTS) ->
 def checked_requests(
     requests: DataFrame,
     forecasts: DataFrame,
+    known_series: DataFrame,
     store_range: tuple[int, int],
     default_days: tuple[date, date],
 ) -> DataFrame:
     """Forecast requests (request_id, store_nbr, family, start_date, end_date) with `reason`,
     NULL for a valid one, and `days`, the forecast days it asks for.
 
-    Missing dates take the defaults. Forecasts are gathered to one row per series, bounded by
+    Missing dates take the defaults. `known_series` (store_nbr, family) tells which stores and
+    families exist, so the forecasts are built once. Forecasts are gathered to one row per series, bounded by
     the horizon, so a series in great demand is joined once per request and not once per
     request and day.
     """
     start, end = (F.coalesce(c, F.lit(d)) for c, d in zip(("start_date", "end_date"), default_days))
+    pairs = known_series.select(*SERIES).distinct()
     known = {
-        "known_store": distinct_values(forecasts, "store_nbr"),
-        "known_family": distinct_values(forecasts, "family"),
+        "known_store": broadcast_dimension(distinct_values(pairs, "store_nbr")),
+        "known_family": broadcast_dimension(distinct_values(pairs, "family")),
     }
     by_series = forecasts.groupBy(*SERIES).agg(
         F.array_sort(F.collect_list(F.struct("date", "sales_pred"))).alias("days")

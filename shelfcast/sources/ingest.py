@@ -23,8 +23,13 @@ TYPED = {
 
 
 def read_raw(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    """One of the six raw files; a missing one fails at once."""
-    return spark.read.schema(RAW[name]).option("header", True).csv(f"{raw_dir}/{name}.csv")
+    """One of the six raw files; a missing one fails at once.
+
+    Reading is strict: a header that differs from the schema in names or order fails, and so does a value
+    that is no number or date. An empty field is NULL, NaN is a number; no other text stands for a missing value.
+    """
+    reader = spark.read.schema(RAW[name]).option("header", True)
+    return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(f"{raw_dir}/{name}.csv")
 
 
 def typed(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ EWM_ALPHAS = {"sales_ewm_alpha_01": 0.1, "sales_ewm_alpha_03": 0.3}
 PROMO_SPAN = 14
 OIL_SPANS = (7, 30)
 
-# Columns of the feature table that a model must not see, and the categorical inputs.
+# Columns of the feature table that a model must not see, and the categorical inputs.
 NON_FEATURES = ("id", "date", "sales", "log_sales", "is_test")
 CATEGORICALS = ("store_nbr", "family", "city", "state", "type", "cluster")
 
@@ -28,7 +28,7 @@ MAX_BROADCAST_DAYS = 100_000
 
 @dataclass(frozen=True)
 class DemandSpec:
-    """Calendar and rules of one retail data set. The defaults are those of the original data."""
+    """Calendar and rules of one retail data set. The defaults are those of the original data."""
 
     calendar_start: date = date(2013, 1, 1)
     calendar_end: date = date(2017, 8, 31)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shelfcast.plans.reports import PROMO_BOOSTS
 from shelfcast.spec import EWM_ALPHAS, MEAN_SPANS, SALES_LAGS, STD_SPANS
-from shelfcast.workload.tables import FAMILIES, HOLIDAYS, SPEC
+from shelfcast.workload.tables import DAY_ZERO, HOLIDAYS, SPEC
 
 START, END, TEST, VAL, FEATURES = (
     f"DATE '{d}'"
@@ -25,18 +25,18 @@ def digest(
 ) -> str:
     parts = [*by, "count(*) AS n_rows"]
     for c in columns:
-        mean = f"avg({c}::DOUBLE)"
+        mean, square = f"avg({c}::DOUBLE)", f"avg({c}::DOUBLE * {c}::DOUBLE)"
         by_day = f"avg({c}::DOUBLE * date_diff('day', {START}, date))"
         parts += [
             f"count({c}) AS {c}_known",
             f"{rounded(mean, digits[0])} AS {c}_mean",
             f"{rounded(by_day, digits[1])} AS {c}_by_day",
+            f"{rounded(square, 2)} AS {c}_square",
         ]
     keys = ", ".join(by)
     return f"SELECT {', '.join(parts)} FROM {source} WHERE {where} GROUP BY {keys}"
 
 
-_FAMILY_LIST = ", ".join(f"'{f}'" for f in FAMILIES)
 _HOLIDAY_ROWS = ", ".join(
     f"({m}, {d}, '{kind}', '{locale}', '{place}', '{text}', {moved}, {even})"
     for m, d, kind, locale, place, text, moved, even in HOLIDAYS
@@ -45,13 +45,12 @@ _HOLIDAY_ROWS = ", ".join(
 # Each table of the retail model as a CTE, and the CTEs it needs.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "sold": (
-        f"""SELECT ((store_nbr * 10 + list_position([{_FAMILY_LIST}], family)) * 10000
-                   + date_diff('day', {START}, date))::BIGINT AS id, *
+        f"""SELECT (store_nbr * {1 << 14} + date_diff('day', DATE '{DAY_ZERO}', date)) * {1 << 30}
+                   + (('0x' || md5(family)[1:8])::BIGINT & {(1 << 30) - 1}) AS id, *
             FROM (SELECT l_suppkey AS store_nbr, p_type AS family, l_shipdate::DATE AS date,
                          sum(l_quantity) AS sales,
                          count(*) FILTER (WHERE l_discount >= 0.05) AS onpromotion
                   FROM lineitem JOIN part ON l_partkey = p_partkey
-                  WHERE l_shipdate::DATE BETWEEN {START} AND {END}
                   GROUP BY ALL)""",
         (),
     ),
@@ -85,7 +84,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "transactions": (
         f"""SELECT l_shipdate::DATE AS date, l_suppkey AS store_nbr, count(DISTINCT l_orderkey) AS transactions
-            FROM lineitem WHERE l_shipdate::DATE BETWEEN {START} AND {END} GROUP BY ALL""",
+            FROM lineitem GROUP BY ALL""",
         (),
     ),
     "days": (f"SELECT unnest(generate_series({START}, {END}, INTERVAL 1 DAY))::DATE AS date", ()),
@@ -294,7 +293,7 @@ _FILLED = "(SELECT family, coalesce(sales, 0) AS sales FROM grid WHERE NOT is_te
 _FLAGS = "is_holiday_national, is_holiday_regional, is_holiday_local, is_holiday_any"
 
 
-def _flagged(kept: str) -> str:
+def _flagged(kept: str, rows: str = "train") -> str:
     def hit(scope: str, place: str = "") -> str:
         where = f" AND k.locale_name = {place}" if place else ""
         return f"EXISTS (SELECT 1 FROM {kept} k WHERE k.locale = '{scope}' AND k.date = t.date{where})::INTEGER"
@@ -303,7 +302,7 @@ def _flagged(kept: str) -> str:
                 FROM (SELECT t.*, s.city, s.state, {hit('National')} AS is_holiday_national,
                              {hit('Regional', 's.state')} AS is_holiday_regional,
                              {hit('Local', 's.city')} AS is_holiday_local
-                      FROM train t JOIN stores s USING (store_nbr)))"""
+                      FROM {rows} t JOIN stores s USING (store_nbr)))"""
 
 
 _STORE_TOTALS = (
@@ -347,7 +346,7 @@ _GOLD_NUMERIC = [
 ]
 
 ORACLES: dict[str, str] = {
-    "typed_sales": with_ctes(digest("train", ["family"], ["id", "store_nbr", "sales", "onpromotion"]), "train"),
+    "typed_sales": with_ctes(digest("(SELECT * REPLACE (id % 10007 AS id) FROM train)", ["family"], ["id", "store_nbr", "sales", "onpromotion"]), "train"),
     "union_parts": with_ctes(
         f"""SELECT store_nbr, count(*) AS n_rows, count(*) FILTER (WHERE date < {TEST}) AS n_sales,
                    sum(sales) FILTER (WHERE date < {TEST}) AS sales, sum(onpromotion)::BIGINT AS onpromotion
@@ -387,8 +386,8 @@ ORACLES: dict[str, str] = {
         "train",
     ),
     "holiday_flags": with_ctes(
-        f"SELECT city, {_FLAGS}, count(*) AS n_rows, sum(sales) AS sales FROM {_flagged('kept')} GROUP BY ALL",
-        "train",
+        f"SELECT city, {_FLAGS}, count(*) AS n_rows, sum(sales) AS sales FROM {_flagged('kept', 'grid')} GROUP BY ALL",
+        "grid",
         "stores",
         "kept",
     ),
@@ -407,8 +406,8 @@ ORACLES: dict[str, str] = {
     ),
     "gold_digest": with_ctes(
         digest(
-            "(SELECT * REPLACE (is_test::INTEGER AS is_test) FROM gold)",
-            ["store_nbr", "city", "state", "type"],
+            "(SELECT * REPLACE (is_test::INTEGER AS is_test, id % 10007 AS id) FROM gold)",
+            ["store_nbr", "family", "city", "state", "type"],
             _GOLD_NUMERIC,
             digits=(5, 3),
         ),
@@ -445,7 +444,7 @@ ORACLES: dict[str, str] = {
     "feature_table": with_ctes(
         digest(
             "features",
-            ["store_nbr"],
+            ["store_nbr", "family"],
             ["log_sales", *[c for c in FEATURE_NAMES if c not in TEXT_NAMES and c != "store_nbr"]],
             digits=(5, 3),
         ),
@@ -646,3 +645,15 @@ ORACLES: dict[str, str] = {
         "grid",
     ),
 }
+
+# What must hold of fitted models on any data, as far as SQL can say it.
+ORACLES["gbt_scores"] = with_ctes(
+    """SELECT model, n AS n_scored, n AS n_not_negative, TRUE AS no_worse_than_naive
+       FROM (VALUES ('Boosted trees, leaf-wise'), ('Boosted trees, depth-wise'), ('Blend 50% + 50%'), ('Naive (Lag 16)')) m(model),
+            (SELECT count(sales) AS n FROM val) v""",
+    "val",
+)
+ORACLES["gbt_importance"] = (
+    f"""SELECT {len(FEATURE_NAMES)}::BIGINT AS n_features, {len(FEATURE_NAMES)}::BIGINT AS n_known, 1.0::DOUBLE AS gain,
+               TRUE AS splits_are_inner_nodes, 0::BIGINT AS n_negative"""
+)

@@ -1,16 +1,15 @@
 """Every operator as a query over the star-schema tables.
 
-Queries that produce a row per grid row are checked through digests: per series or store, the
-count, the mean and the day-weighted mean of each column, so a value on the wrong day shows.
+Queries that produce a row per grid row are checked through digests: per series, the count, the
+mean, the mean square and the day-weighted mean of each column, so a value on the wrong day shows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import calendar_columns, payday_columns
@@ -23,7 +22,7 @@ from shelfcast.models.baselines import (
     with_baselines,
 )
 from shelfcast.models.blend import blend_sweep
-from shelfcast.models.gbt import DEPTH_WISE, LEAF_WISE, feature_importance, fit_forecaster
+from shelfcast.models.gbt import LEAF_WISE, feature_importance, fit_forecaster
 from shelfcast.operators import lags
 from shelfcast.operators.events import effective_holidays, with_holiday_flags
 from shelfcast.operators.exogenous import oil_daily
@@ -33,7 +32,7 @@ from shelfcast.operators.lineage import settled
 from shelfcast.operators.split import split_report, temporal_split
 from shelfcast.plans import profile, reports
 from shelfcast.plans.features import build_features, fill_warm_up
-from shelfcast.plans.jobs import fit_models, with_model_predictions
+from shelfcast.plans.jobs import MODELS, Ensemble, fit_models
 from shelfcast.sources.ingest import typed
 from shelfcast.spec import SERIES, feature_columns
 from shelfcast.workload.tables import SPEC, RetailTables, read
@@ -63,6 +62,7 @@ def digest(
             F.expr(f"count({c}) AS {c}_known"),
             F.expr(f"round(avg(CAST({c} AS DOUBLE)), {digits[0]}) AS {c}_mean"),
             F.expr(f"round(avg(CAST({c} AS DOUBLE) * {day_nbr}), {digits[1]}) AS {c}_by_day"),
+            F.expr(f"round(avg(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)), 2) AS {c}_square"),
         ]
     return df.groupBy(*by).agg(*aggs)
 
@@ -75,6 +75,14 @@ def full_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return continuous_grid(t.train, t.test, SPEC)
 
 
+def recent_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of the days that reports show; older sales stay unread."""
+    t = RetailTables(spark, sf_dir)
+    spec = SPEC.since(SPEC.test_start - timedelta(days=reports.HISTORY_DAYS))
+    recent = t.train.filter(F.col("date") >= F.lit(spec.calendar_start))
+    return continuous_grid(recent, t.test, spec, catalogue=t.catalogue)
+
+
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = RetailTables(spark, sf_dir)
     grid = continuous_grid(t.train, t.test, SPEC)
@@ -92,7 +100,7 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_day = SPEC.val_start - timedelta(days=LOOKBACK_DAYS)
     t = RetailTables(spark, sf_dir)
     recent = t.train.filter(F.col("date") >= F.lit(first_day))
-    grid = continuous_grid(recent, t.test, SPEC.since(first_day))
+    grid = continuous_grid(recent, t.test, SPEC.since(first_day), catalogue=t.catalogue)
     in_val = F.col("date").between(F.lit(SPEC.val_start), F.lit(SPEC.last_train_day))
     return with_baselines(baseline_features(grid).filter(in_val))
 
@@ -100,8 +108,10 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forecast for every series and test day: the moving-average baseline."""
     t = RetailTables(spark, sf_dir)
-    spec = SPEC.since(SPEC.test_start - timedelta(days=LOOKBACK_DAYS))
-    ahead = baseline_features(continuous_grid(t.train, t.test, spec)).filter("is_test")
+    first_day = SPEC.test_start - timedelta(days=LOOKBACK_DAYS)
+    recent = t.train.filter(F.col("date") >= F.lit(first_day))
+    grid = continuous_grid(recent, t.test, SPEC.since(first_day), catalogue=t.catalogue)
+    ahead = baseline_features(grid).filter("is_test")
     return ahead.select(
         "id", *SERIES, "date", "onpromotion", from_log(F.col("sales_roll_mean_7")).alias("sales_pred")
     )
@@ -116,6 +126,7 @@ def typed_sales(spark, sf_dir):
     train = RetailTables(spark, sf_dir).train
     blank = F.when(F.col("onpromotion") > 0, F.col("onpromotion"))
     text = train.withColumn("onpromotion", blank).select(*[F.col(c).cast("string") for c in train.columns])
+    text = text.withColumn("id", (F.col("id").cast("long") % 10007).cast("string"))
     return digest(typed(text), ("family",), ["id", "store_nbr", "sales", "onpromotion"])
 
 
@@ -180,10 +191,10 @@ def holiday_calendar(spark, sf_dir):
 
 @query
 def holiday_flags(spark, sf_dir):
-    """Observed sales under each kind of holiday, by city."""
+    """Grid rows and sales under each kind of holiday, by city."""
     t = RetailTables(spark, sf_dir)
     rows = with_holiday_flags(
-        t.train.join(t.stores, "store_nbr"), effective_holidays(t.holidays), SPEC
+        full_grid(spark, sf_dir).join(t.stores, "store_nbr"), effective_holidays(t.holidays), SPEC
     )
     flags = ["is_holiday_national", "is_holiday_regional", "is_holiday_local", "is_holiday_any"]
     return rows.groupBy("city", *flags).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("sales").alias("sales"))
@@ -210,7 +221,8 @@ def shock_flag(spark, sf_dir):
 def gold_digest(spark, sf_dir):
     df = master(spark, sf_dir).withColumn("is_test", F.col("is_test").cast("int"))
     numeric = [c for c in df.columns if c not in ("date", *SERIES, "city", "state", "type")]
-    return digest(df, ("store_nbr", "city", "state", "type"), numeric, digits=(5, 3))
+    df = df.withColumn("id", F.col("id") % 10007)
+    return digest(df, (*SERIES, "city", "state", "type"), numeric, digits=(5, 3))
 
 
 # ------------------------------------------------------------------------------- features
@@ -263,11 +275,11 @@ def promo_features(spark, sf_dir):
 
 @query
 def feature_table(spark, sf_dir):
-    """All model inputs of the full feature table, digested per store."""
+    """All model inputs of the full feature table, digested per series."""
     df = build_features(master(spark, sf_dir), SPEC)
     text = ("family", "city", "state", "type")
     numeric = [c for c in feature_columns(df.columns) if c not in text and c != "store_nbr"]
-    return digest(df, ("store_nbr",), ["log_sales", *numeric], digits=(5, 3))
+    return digest(df, SERIES, ["log_sales", *numeric], digits=(5, 3))
 
 
 @query
@@ -290,7 +302,8 @@ def feature_list(spark, sf_dir):
 
 @query
 def split_parts(spark, sf_dir):
-    return split_report(temporal_split(full_grid(spark, sf_dir), SPEC.val_days))
+    grid = full_grid(spark, sf_dir)
+    return split_report(temporal_split(grid, SPEC.val_days, last_train_day=SPEC.last_train_day))
 
 
 @query
@@ -478,17 +491,18 @@ def planned_promotions(spark, sf_dir):
 
 @query
 def store_cards(spark, sf_dir):
-    return reports.store_cards(master(spark, sf_dir))
+    t = RetailTables(spark, sf_dir)
+    return reports.store_cards(t.stores.join(t.train.select("store_nbr"), "store_nbr", "left_semi"))
 
 
 @query
 def last_history(spark, sf_dir):
-    return digest(reports.last_history(full_grid(spark, sf_dir)), SERIES, ["sales", "onpromotion"])
+    return digest(reports.last_history(recent_grid(spark, sf_dir), SPEC), SERIES, ["sales", "onpromotion"])
 
 
 @query
 def demand_view(spark, sf_dir):
-    view = reports.demand_view(full_grid(spark, sf_dir), horizon(spark, sf_dir))
+    view = reports.demand_view(recent_grid(spark, sf_dir), horizon(spark, sf_dir), SPEC)
     return digest(view, (*SERIES, "kind"), ["units", "onpromotion"])
 
 
@@ -541,6 +555,7 @@ def _checked(spark, sf_dir) -> DataFrame:
     return reports.checked_requests(
         forecast_requests(spark, sf_dir),
         horizon(spark, sf_dir),
+        RetailTables(spark, sf_dir).train,
         store_range=(0, 109),
         default_days=(SPEC.test_start, SPEC.calendar_end),
     )
@@ -563,35 +578,59 @@ def catalogue_health(spark, sf_dir):
 
 # ------------------------------------------------------------------------- boosted trees
 
-# Few and shallow trees: enough to run every step of training on the test tables.
-SMALL = {"rounds": 6, "depth": 3, "learning_rate": 0.3, "patience": 2}
+# Labelled training rows of the boosted-tree queries at most, chosen by hash; the trees are grown in full.
+LABELLED_ROWS = 20_000
 
 
 def _model_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Train and validation rows with sales, numbers and categories as the models see them."""
     features = build_features(master(spark, sf_dir), SPEC)
     parts = temporal_split(features, SPEC.val_days, last_train_day=SPEC.last_train_day)
-    parts = settled(parts.filter("log_sales IS NOT NULL"))
-    return tuple(parts.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+    parts = parts.filter("log_sales IS NOT NULL")
+    train = parts.filter("split = 'train'").orderBy(F.xxhash64(*SERIES, "date")).limit(LABELLED_ROWS)
+    return tuple(settled(df.drop("split")) for df in (train, parts.filter("split = 'val'")))
+
+
+def _released(*tables: DataFrame) -> None:
+    for df in tables:
+        df.unpersist()
 
 
 @query
 def gbt_scores(spark, sf_dir):
-    """Benchmark of baselines, both boosted flavours and their blend."""
+    """Benchmark of both boosted flavours, their blend and the naive forecast, and what must hold of it."""
     train, val = _model_parts(spark, sf_dir)
-    models = fit_models(train, val, replace(LEAF_WISE, **SMALL), replace(DEPTH_WISE, **SMALL))
-    scored = with_model_predictions(models, with_baselines(val))
-    names = {
-        "Boosted trees, leaf-wise": "pred_leaf_wise",
-        "Boosted trees, depth-wise": "pred_depth_wise",
-        "Blend 50% + 50%": "pred_blend",
-        "Naive (Lag 16)": "pred_naive",
-    }
-    return leaderboard(scored, "sales", names)
+    ensemble = Ensemble(fit_models(train, val))
+    scored = ensemble.score(with_baselines(val))
+    names = {**MODELS, "Blend 50% + 50%": "pred_blend", "Naive (Lag 16)": "pred_naive"}
+    board = leaderboard(scored, "sales", names)
+    known = scored.agg(*[F.count_if(F.col(c) >= 0).alias(c) for c in names.values()]).first()  # one row
+    counts = F.create_map(*[F.lit(x) for name, c in names.items() for x in (name, known[c])])
+    naive = F.max(F.when(F.col("model") == "Naive (Lag 16)", F.col("rmsle"))).over(Window.partitionBy())
+    facts = board.select(
+        "model",
+        "n_scored",
+        counts[F.col("model")].cast("long").alias("n_not_negative"),
+        (F.col("rmsle") <= naive).alias("no_worse_than_naive"),
+    )
+    rows = spark.createDataFrame(facts.collect(), facts.schema)  # one row per model
+    _released(train, val)
+    return rows
 
 
 @query
 def gbt_importance(spark, sf_dir):
+    """The features a model may use, the sum of their gains, and whether the splits are the trees' inner nodes."""
     train, val = _model_parts(spark, sf_dir)
-    model = fit_forecaster(train, val, replace(LEAF_WISE, **SMALL))
-    return feature_importance(model, train, 20)
+    model = fit_forecaster(train, val, LEAF_WISE)
+    names = feature_columns(train.columns)
+    table = feature_importance(model, train, len(names))
+    inner = sum(tree.numNodes // 2 for tree in model.stages[-1].trees)
+    _released(train, val)
+    return table.agg(
+        F.count("*").alias("n_features"),
+        F.count_if(F.col("feature").isin(names)).alias("n_known"),
+        F.round(F.sum("importance_gain"), 6).alias("gain"),
+        (F.sum("importance_split") == inner).alias("splits_are_inner_nodes"),
+        F.count_if(F.col("importance_gain") < 0).alias("n_negative"),
+    )

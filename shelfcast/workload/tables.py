@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators.grid import series_catalogue
 from shelfcast.spec import CELL, DemandSpec
 
 SPEC = DemandSpec(
@@ -23,9 +24,9 @@ SPEC = DemandSpec(
     shock_end=date(1998, 5, 31),
 )
 
-# Part types in the order that numbers them, and the yearly holiday calendar as
+# The day that ids count from, and the yearly holiday calendar as
 # (month, day, type, locale, locale_name, description, transferred in even years, only in even years).
-FAMILIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+DAY_ZERO = date(1990, 1, 1)
 HOLIDAYS = (
     (1, 1, "Holiday", "National", "NATION", "New Year", False, False),
     (1, 1, "Additional", "National", "NATION", "New Year again", False, False),
@@ -58,12 +59,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def sales_cells(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC) -> DataFrame:
-    """One row per store, family and day with sales: id, sales, onpromotion and the cell key."""
-    items = read(spark, sf_dir, "lineitem").filter(
-        (F.col("l_shipdate") >= F.lit(spec.calendar_start))
-        & (F.col("l_shipdate") < F.date_add(F.lit(spec.calendar_end), 1))
-    )
+def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per store, family and day with sales: id, sales, onpromotion and the cell key.
+
+    All line items count; the grid keeps the days of its calendar. The id has the store in its top bits, then 14
+    bits of day number and 30 bits of the family's hash, so no list of families is needed.
+    """
+    items = read(spark, sf_dir, "lineitem")
     parts = read(spark, sf_dir, "part")
     cells = (
         items.join(parts, items.l_partkey == parts.p_partkey)
@@ -77,9 +79,9 @@ def sales_cells(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC) -> Da
             F.count_if(F.col("l_discount") >= 0.05).alias("onpromotion"),
         )
     )
-    family_nbr = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family"))
-    day_nbr = F.datediff("date", F.lit(SPEC.calendar_start))
-    cell_id = (F.col("store_nbr") * 10 + family_nbr) * 10000 + day_nbr
+    family_code = F.conv(F.substring(F.md5("family"), 1, 8), 16, 10).cast("long").bitwiseAND(F.lit((1 << 30) - 1))
+    day_nbr = F.datediff("date", F.lit(DAY_ZERO)).cast("long")
+    cell_id = (F.col("store_nbr") * (1 << 14) + day_nbr) * (1 << 30) + family_code
     return cells.select(cell_id.alias("id"), *CELL, "sales", "onpromotion")
 
 
@@ -145,11 +147,10 @@ def holiday_events(spark: SparkSession, spec: DemandSpec = SPEC) -> DataFrame:
     )
 
 
-def store_transactions(spark: SparkSession, sf_dir: str, spec: DemandSpec = SPEC) -> DataFrame:
+def store_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("l_shipdate")
     return (
         read(spark, sf_dir, "lineitem")
-        .filter(day.between(F.lit(spec.calendar_start), F.lit(spec.calendar_end)))
         .groupBy(day.alias("date"), F.col("l_suppkey").alias("store_nbr"))
         .agg(F.countDistinct("l_orderkey").alias("transactions"))
     )
@@ -163,7 +164,7 @@ class RetailTables:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return sales_cells(self.spark, self.sf_dir, self.spec)
+        return sales_cells(self.spark, self.sf_dir)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -192,4 +193,9 @@ class RetailTables:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return store_transactions(self.spark, self.sf_dir, self.spec)
+        return store_transactions(self.spark, self.sf_dir)
+
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        """Every store with every family of the whole train part, whatever days a grid covers."""
+        return series_catalogue(self.train)

@@ -1,6 +1,7 @@
 """The batch jobs end to end on CSV files made from the test tables."""
 
 import os
+import re
 from dataclasses import replace
 from datetime import date
 
@@ -8,8 +9,23 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from shelfcast.models.gbt import DEPTH_WISE, LEAF_WISE, feature_importance, with_prediction
-from shelfcast.plans.jobs import load_models, run_data_job, run_feature_job, run_training_job
+from shelfcast.models.gbt import (
+    DEPTH_WISE,
+    LEAF_WISE,
+    feature_importance,
+    fit_forecaster,
+    with_prediction,
+)
+from shelfcast.plans.jobs import (
+    Ensemble,
+    answer_requests,
+    feature_table,
+    load_ensemble,
+    run_data_job,
+    run_feature_job,
+    run_training_job,
+)
+from shelfcast.plans.reports import forecast_slice, rejected_requests
 from shelfcast.sources.ingest import read_layer, read_raw, read_report, typed
 from shelfcast.sources.schemas import BENCHMARK, RAW, SUBMISSION
 from shelfcast.sources.sinks import write_series_table
@@ -37,7 +53,7 @@ def out(spark, sf_dir, tmp_path_factory):
         columns = RAW[name].replace(",", "").split()[::2]
         df.select(*columns).write.option("header", True).csv(f"{root}/raw/{name}.csv")
     run_data_job(spark, f"{root}/raw", root, SHORT)
-    run_feature_job(spark, f"{root}/gold", f"{root}/features", SHORT)
+    run_feature_job(spark, root, f"{root}/features", SHORT)
     run_training_job(
         spark,
         f"{root}/features",
@@ -67,12 +83,13 @@ def test_benchmark_and_submission(spark, sf_dir, out):
     assert len(board) == 6 and [r["rmsle"] for r in board] == sorted(r["rmsle"] for r in board)
     assert "trees" in board[0]["model"] or "Blend" in board[0]["model"]
     sent = read_report(spark, f"{out}/out/submission", SUBMISSION)
-    assert sent.count() == RetailTables(spark, sf_dir, SHORT).test.count()
+    asked = RetailTables(spark, sf_dir, SHORT).test.filter(F.col("date") <= F.lit(SHORT.calendar_end))
+    assert sent.count() == asked.count()
     assert sent.filter("sales < 0 OR sales IS NULL").count() == 0
 
 
 def test_models_load_and_score_subsets_alike(spark, out):
-    models = load_models(f"{out}/out")
+    models = load_ensemble(spark, f"{out}/out").models
     features = read_layer(spark, f"{out}/features").filter("is_test")
     whole = with_prediction(models["pred_leaf_wise"], features, "p").filter("family = 'PROMO'")
     part = with_prediction(models["pred_leaf_wise"], features.filter("family = 'PROMO'"), "p")
@@ -89,13 +106,13 @@ def test_models_load_and_score_subsets_alike(spark, out):
 
 
 def test_unseen_names_are_scored(spark, out):
-    model = load_models(f"{out}/out")["pred_depth_wise"]
+    model = load_ensemble(spark, f"{out}/out").models["pred_depth_wise"]
     features = read_layer(spark, f"{out}/features").filter("is_test").withColumn("family", F.lit("NEW"))
     assert with_prediction(model, features, "p").filter("p IS NULL").count() == 0
 
 
 def test_importance(spark, out):
-    model = load_models(f"{out}/out")["pred_leaf_wise"]
+    model = load_ensemble(spark, f"{out}/out").models["pred_leaf_wise"]
     features = read_layer(spark, f"{out}/features")
     rows = feature_importance(model, features, 49).collect()
     gains = [r["importance_gain"] for r in rows]
@@ -105,14 +122,70 @@ def test_importance(spark, out):
     assert splits == sum(t.numNodes // 2 for t in model.stages[-1].trees)
 
 
-def test_wide_categoricals_are_hashed(spark, out):
-    from shelfcast.models.gbt import fit_forecaster
+def test_one_encoding_at_every_size(spark, out):
+    """100, 215 or 1,000 stores: the same stages, and a stable value of its own for every store."""
+    features = read_layer(spark, f"{out}/features").filter("log_sales IS NOT NULL").limit(40)
+    params = replace(LEAF_WISE, rounds=1, depth=2, patience=1)
+    stages = set()
+    for n in (100, 215, 1000):
+        many = features.crossJoin(spark.range(n).withColumnRenamed("id", "n")).withColumn("store_nbr", F.col("n").cast("int"))
+        many = many.filter("pmod(hash(n, date), 4) > 0 OR n % 3 = 0").drop("n")
+        model = fit_forecaster(many, many, params)
+        stages.add(tuple(type(s).__name__ for s in model.stages))
+        for rows in (many, many.filter("store_nbr < 20")):
+            codes = model.transform(rows).select("store_nbr", "e_store_nbr").distinct().collect()
+            assert len(codes) == len({r[0] for r in codes}) == len({r[1] for r in codes}) == (n if rows is many else 20)
+    assert len(stages) == 1
 
+
+def test_early_stop_equals_a_full_fit(spark, out):
     features = read_layer(spark, f"{out}/features").filter("log_sales IS NOT NULL")
-    params = replace(LEAF_WISE, rounds=1, depth=2, max_bins=8)
-    model = fit_forecaster(features, features.filter("is_test OR date > '2001-06-01'"), params)
-    assert max(map(len, model.stages[1].labelsArray)) <= 7
-    assert with_prediction(model, features.limit(5), "p").count() == 5
+    train, val = features.filter("date < '2001-01-01'"), features.filter("date >= '2001-01-01'")
+    params = replace(LEAF_WISE, rounds=12, depth=2, learning_rate=0.9, patience=2, min_rows_per_leaf=5)
+    early = fit_forecaster(train, val, params)
+    whole = fit_forecaster(train, val, replace(params, patience=12))  # all rounds at once
+    n = early.stages[-1].getNumTrees
+    assert 0 < n <= 12 and early.stages[-1].treeWeights == whole.stages[-1].treeWeights[:n]
+    for a, b in zip(early.stages[-1].trees, whole.stages[-1].trees):
+        assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
+
+
+def test_ensemble_weights_are_stored(spark, out, run_dir):
+    first = load_ensemble(spark, f"{out}/out")
+    assert first.weights == (0.5, 0.5)
+    Ensemble(first.models, (0.3, 0.7)).save(run_dir)
+    again = load_ensemble(spark, run_dir)
+    assert again.weights == (0.3, 0.7) and list(again.models) == list(first.models)
+    rows = again.score(read_layer(spark, f"{out}/features").filter("is_test").limit(50))
+    gap = F.max(F.abs(F.col("pred_leaf_wise") * 0.3 + F.col("pred_depth_wise") * 0.7 - F.col("pred_blend")))
+    assert rows.agg(gap).first()[0] < 1e-9
+
+
+def test_requests_for_past_days_are_scored(spark, out):
+    asked = [
+        (1, 3, "PROMO", date(2001, 3, 1), date(2001, 3, 10)),
+        (2, 3, "PROMO", None, None),
+        (3, 3, "NONE", date(2001, 3, 1), date(2001, 3, 2)),
+        (4, 999, "PROMO", None, None),
+        (5, 4, "SMALL", date(1990, 1, 1), date(1990, 1, 2)),
+    ]
+    requests = spark.createDataFrame(asked, "request_id long, store_nbr long, family string, start_date date, end_date date")
+    features = read_layer(spark, f"{out}/features")
+    ensemble = load_ensemble(spark, f"{out}/out")
+    checked = answer_requests(ensemble, features, requests, (1, 100), (SHORT.test_start, SHORT.calendar_end))
+    rows = forecast_slice(checked).orderBy("request_id", "date").collect()
+    assert [r["request_id"] for r in rows] == [1] * 10 + [2] * 16
+    assert all(r["predicted_sales"] >= 0 for r in rows)
+    expected = ensemble.score(features.filter("store_nbr = 3 AND family = 'PROMO' AND date = '2001-03-04'")).first()
+    assert rows[3]["predicted_sales"] == pytest.approx(expected["pred_blend"], abs=0.0051)
+    reasons = {r["request_id"]: r["reason"] for r in rejected_requests(checked).collect()}
+    assert reasons == {3: "unknown_family", 4: "store_out_of_range", 5: "no_data"}
+
+
+def test_stored_path_never_shuffles_dense_rows(spark, out):
+    plan = feature_table(spark, out, SHORT)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate explode(sequence(0")]
+    assert "SortMergeJoin" not in above and len(re.findall(r"\bExchange hashpartitioning", above)) == 0
 
 
 def test_missing_file_fails(spark, out):
@@ -125,6 +198,35 @@ def test_absent_report_is_empty(spark, out):
     assert empty.count() == 0 and empty.columns[0] == "model"
 
 
+def csv(run_dir, name, text):
+    os.makedirs(f"{run_dir}/{name}.csv", exist_ok=True)
+    with open(f"{run_dir}/{name}.csv/part.csv", "w") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "id,date,store_nbr,sales,family,onpromotion\n1,2017-01-01,3,7.5,A,0\n",  # columns in another order
+        "id,date,store_nbr,family,sales,onpromotion\n1,01/02/2017,3,A,7.5,0\n",
+        "id,date,store_nbr,family,sales,onpromotion\n1,2017-01-01,3,A,many,0\n",
+        "id,date,store_nbr,family,sales,onpromotion\n1,2017-01-01,3,A,n/a,0\n",
+        "id,date,store_nbr,family,sales,onpromotion\n1,2017-01-01,3\n",
+    ],
+)
+def test_reading_is_strict(spark, run_dir, text):
+    csv(run_dir, "train", text)
+    with pytest.raises(Exception, match="(?i)malformed|header|FAILED_READ_FILE|conform"):
+        typed(read_raw(spark, run_dir, "train")).collect()
+
+
+def test_no_row_is_lost_between_raw_and_bronze(spark, out):
+    for name in ("train", "test", "stores", "oil", "holidays_events", "transactions"):
+        lines = spark.read.text(f"{out}/raw/{name}.csv").filter("value <> ''").count()
+        files = spark.read.text(f"{out}/raw/{name}.csv").select(F.input_file_name()).distinct().count()
+        assert read_layer(spark, f"{out}/bronze/{name}").count() == lines - files
+
+
 def test_typed_cleans(spark, run_dir):
     os.makedirs(f"{run_dir}/train.csv")
     with open(f"{run_dir}/train.csv/part.csv", "w") as f:

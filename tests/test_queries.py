@@ -5,6 +5,9 @@ from compare import difference, duck
 
 import __spark_entry__ as entry
 
+from shelfcast.workload.oracle import ORACLES as PLAIN_ORACLES
+from shelfcast.workload.queries import QUERIES
+
 ORACLES = entry.oracle_sql()
 
 
@@ -15,7 +18,7 @@ def con(sf_dir):
 
 def test_names():
     assert set(ORACLES) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLES) == {"gbt_scores", "gbt_importance"}
+    assert set(QUERIES) == set(PLAIN_ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,8 +31,3 @@ def test_entry(spark):
     assert len(rows) == 3 and rows[0]["rmsle"] <= rows[1]["rmsle"] <= rows[2]["rmsle"]
 
 
-def test_boosted_trees(spark, sf_dir):
-    board = {r["model"]: r for r in entry.queries()["gbt_scores"](spark, sf_dir).collect()}
-    assert len(board) == 4
-    naive = board.pop("Naive (Lag 16)")["rmsle"]
-    assert all(row["rmsle"] < naive for row in board.values())

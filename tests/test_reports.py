@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.plans import profile, reports
+from shelfcast.spec import DemandSpec
 
 FIRST, LAST = date(2017, 8, 16), date(2017, 8, 18)
 
@@ -39,7 +40,7 @@ def test_requests(spark, forecasts):
     requests = spark.createDataFrame(
         asked, "request_id long, store_nbr int, family string, start_date date, end_date date"
     )
-    checked = reports.checked_requests(requests, forecasts, (1, 54), (FIRST, LAST))
+    checked = reports.checked_requests(requests, forecasts, forecasts, (1, 54), (FIRST, LAST))
     reasons = {r["request_id"]: r["reason"] for r in reports.rejected_requests(checked).collect()}
     assert reasons == {
         3: "store_out_of_range",
@@ -74,7 +75,7 @@ def test_scenarios(forecasts):
 def test_last_history(spark):
     rows = [(1, "A", date(2017, 8, d), d >= 16, float(d)) for d in range(1, 19)]
     df = spark.createDataFrame(rows, "store_nbr int, family string, date date, is_test boolean, sales double")
-    kept = reports.last_history(df, 5).agg(F.min("sales"), F.max("sales"), F.count("*")).first()
+    kept = reports.last_history(df, DemandSpec(), 5).agg(F.min("sales"), F.max("sales"), F.count("*")).first()
     assert tuple(kept) == (11.0, 15.0, 5)
 
 
