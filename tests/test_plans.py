@@ -38,7 +38,8 @@ def test_recent_days_only_are_read(spark, sf_dir):
     text = plan(q.validation(spark, sf_dir))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\].*?ReadSchema: (\S*)", text)
     sales = [(f, s) for f, s in pushed if "l_shipdate" in s]
-    assert sales and all("GreaterThanOrEqual(l_shipdate" in f for f, _ in sales)
+    # one more scan, of all days, makes the catalogue
+    assert len(sales) == 3 and sum("GreaterThanOrEqual(l_shipdate" in f for f, _ in sales) == 2
     assert all("l_extendedprice" not in s for _, s in sales)
 
 
@@ -51,3 +52,28 @@ def test_short_calendar_gives_the_same_scores(spark, sf_dir):
     columns = ["store_nbr", "family", "date", "pred_naive", "pred_seasonal_naive"]
     assert long.select(columns).exceptAll(short.select(columns)).count() == 0
     assert long.count() == short.count() > 0
+
+
+def test_reports_read_recent_days_only(spark, sf_dir):
+    """Of the three scans of line items only the one for the catalogue is of all days."""
+    for build in (q.recent_grid, q.horizon):
+        text = plan(build(spark, sf_dir))
+        pushed = re.findall(r"PushedFilters: \[([^\]]*)\].*?ReadSchema: (\S*)", text)
+        sales = [f for f, s in pushed if "l_shipdate" in s]
+        assert len(sales) == 3 and sum("GreaterThanOrEqual(l_shipdate" in f for f in sales) == 2
+
+
+def test_stores_that_stopped_selling_stay(spark, sf_dir):
+    t = RetailTables(spark, sf_dir)
+    first_day = SPEC.val_start - timedelta(days=q.LOOKBACK_DAYS)
+    recent = t.train.filter(F.col("date") >= F.lit(first_day)).filter("store_nbr <> 7")
+    grid = q.continuous_grid(recent, t.test, SPEC.since(first_day), catalogue=t.catalogue)
+    assert grid.filter("store_nbr = 7").count() == 6 * SPEC.since(first_day).n_days
+    assert grid.select("store_nbr").distinct().count() == 10
+
+
+def test_only_observed_pairs_if_so_asked(spark, sf_dir):
+    t = RetailTables(spark, sf_dir)
+    pairs = t.train.filter("store_nbr < 4 AND family <> 'SMALL'").select("store_nbr", "family").distinct()
+    grid = q.continuous_grid(t.train, t.test, SPEC, catalogue=pairs)
+    assert grid.count() == pairs.count() * SPEC.n_days
