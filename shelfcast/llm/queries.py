@@ -78,7 +78,43 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
+# Distinct shingles of every document, by DuckDB's own hash; then links, and what they reach.
+_SHINGLES = r"""words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)"""
+_REACHED = """sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached(id, other) AS (
+        SELECT a, b FROM sides UNION SELECT r.id, s.b FROM reached r JOIN sides s ON r.other = s.a)"""
+
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": f"""
+        WITH RECURSIVE {_SHINGLES},
+        links AS (
+            SELECT a, b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
+            JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+        {_REACHED}
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+        FROM documents LEFT JOIN sizes USING (doc_id)
+            LEFT JOIN (SELECT id AS doc_id, min(other) AS low FROM reached GROUP BY id) USING (doc_id)""",
+    "op8_embedding_pq": f"""
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS len FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id < y.vec_id
+            WHERE x.len > 0 AND y.len > 0 AND list_inner_product(x.v, y.v) / x.len / y.len >= 0.9),
+        {_REACHED},
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM sides GROUP BY a),
+        lows AS (SELECT id AS vec_id, min(other) AS low FROM reached GROUP BY id)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+            least(vec_id, coalesce(low, vec_id)) = vec_id AS kept
+        FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN lows USING (vec_id)""",
     "op5_warc": f"""
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS payload,
