@@ -21,7 +21,7 @@ def rounded(expr: str, digits: int = 4) -> str:
 
 
 def digest(
-    source: str, by: list[str], columns: list[str], where: str = "TRUE", digits: tuple[int, int] = (6, 5)
+    source: str, by: list[str], columns: list[str], where: str = "TRUE", digits: tuple[int, int, int] = (6, 5, 6)
 ) -> str:
     parts = [*by, "count(*) AS n_rows"]
     for c in columns:
@@ -31,7 +31,7 @@ def digest(
             f"count({c}) AS {c}_known",
             f"{rounded(mean, digits[0])} AS {c}_mean",
             f"{rounded(by_day, digits[1])} AS {c}_by_day",
-            f"{rounded(square, 2)} AS {c}_square",
+            f"{rounded(square, digits[2])} AS {c}_square",
         ]
     keys = ", ".join(by)
     return f"SELECT {', '.join(parts)} FROM {source} WHERE {where} GROUP BY {keys}"
@@ -409,7 +409,7 @@ ORACLES: dict[str, str] = {
             "(SELECT * REPLACE (is_test::INTEGER AS is_test, id % 10007 AS id) FROM gold)",
             ["store_nbr", "family", "city", "state", "type"],
             _GOLD_NUMERIC,
-            digits=(5, 3),
+            digits=(5, 3, 3),
         ),
         "gold",
     ),
@@ -446,7 +446,7 @@ ORACLES: dict[str, str] = {
             "features",
             ["store_nbr", "family"],
             ["log_sales", *[c for c in FEATURE_NAMES if c not in TEXT_NAMES and c != "store_nbr"]],
-            digits=(5, 3),
+            digits=(5, 3, 3),
         ),
         "features",
     ),

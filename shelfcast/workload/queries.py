@@ -53,7 +53,7 @@ def rounded(c: Column, digits: int = DIGITS) -> Column:
 
 
 def digest(
-    df: DataFrame, by: tuple[str, ...], columns: list[str], digits: tuple[int, int] = (6, 5)
+    df: DataFrame, by: tuple[str, ...], columns: list[str], digits: tuple[int, int, int] = (6, 5, 6)
 ) -> DataFrame:
     day_nbr = f"datediff(date, DATE '{SPEC.calendar_start}')"
     aggs = [F.expr("count(1) AS n_rows")]
@@ -62,7 +62,7 @@ def digest(
             F.expr(f"count({c}) AS {c}_known"),
             F.expr(f"round(avg(CAST({c} AS DOUBLE)), {digits[0]}) AS {c}_mean"),
             F.expr(f"round(avg(CAST({c} AS DOUBLE) * {day_nbr}), {digits[1]}) AS {c}_by_day"),
-            F.expr(f"round(avg(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)), 2) AS {c}_square"),
+            F.expr(f"round(avg(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)), {digits[2]}) AS {c}_square"),
         ]
     return df.groupBy(*by).agg(*aggs)
 
@@ -222,7 +222,7 @@ def gold_digest(spark, sf_dir):
     df = master(spark, sf_dir).withColumn("is_test", F.col("is_test").cast("int"))
     numeric = [c for c in df.columns if c not in ("date", *SERIES, "city", "state", "type")]
     df = df.withColumn("id", F.col("id") % 10007)
-    return digest(df, (*SERIES, "city", "state", "type"), numeric, digits=(5, 3))
+    return digest(df, (*SERIES, "city", "state", "type"), numeric, digits=(5, 3, 3))
 
 
 # ------------------------------------------------------------------------------- features
@@ -279,7 +279,7 @@ def feature_table(spark, sf_dir):
     df = build_features(master(spark, sf_dir), SPEC)
     text = ("family", "city", "state", "type")
     numeric = [c for c in feature_columns(df.columns) if c not in text and c != "store_nbr"]
-    return digest(df, SERIES, ["log_sales", *numeric], digits=(5, 3))
+    return digest(df, SERIES, ["log_sales", *numeric], digits=(5, 3, 3))
 
 
 @query
