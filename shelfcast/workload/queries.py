@@ -579,7 +579,7 @@ def catalogue_health(spark, sf_dir):
 # ------------------------------------------------------------------------- boosted trees
 
 # Labelled training rows of the boosted-tree queries at most, chosen by hash; the trees are grown in full.
-LABELLED_ROWS = 20_000
+LABELLED_ROWS = 5_000
 
 
 def _model_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
