@@ -13,18 +13,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfcast.llm.common import BYTE_CODES, Scratch, U, arrow_schema, ceil_div, mix, ship, shuffle_partitions, text_pieces
+from shelfcast.llm.common import (
+    BYTE_CODES,
+    Scratch,
+    U,
+    arrow_schema,
+    ceil_div,
+    mix,
+    ship,
+    shuffle_partitions,
+    span_hashes,
+    text_pieces,
+)
 
 # Bytes of the shortest repeat, and bytes of an anchor; any MATCH bytes hold SPAN anchor places.
 MATCH, GRAM = 200, 40
 SPAN = MATCH - GRAM + 1
 # Context bytes of a block, about; an anchor that occurs more often than HOT has its windows counted as rows.
 BLOCK_BYTES = 300_000
-HOT = 20_000
+HOT = 100_000
 _POWER = 0xD1342543DE82EF95
 
 
@@ -65,72 +77,99 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return places[fresh], hashes[fresh], first[fresh]
 
 
-ANCHOR = "h long, doc_id long, th long, place long"
+ANCHOR = "h long, doc_id long, th long, first int, last int"
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every anchor with the first and the last stretch it is the anchor of."""
     schema = arrow_schema(ANCHOR)
     for batch in batches:
         ids, hashes = batch.column("doc_id"), batch.column("th").to_numpy()
         rows, held = [], 0
         for i, j, data, offsets in text_pieces(batch.column("text")):
             for k in range(i, j):
-                places, h, _ = anchors(data[offsets[k - i] : offsets[k - i + 1]])
-                if len(places):
-                    rows.append((k, places, h))
-                    held += len(places)
-            if held > 1 << 17 or j == batch.num_rows:
-                if rows:
-                    times = [len(p) for _, p, _ in rows]
-                    owner = np.repeat([k for k, *_ in rows], times)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([h for *_, h in rows]).view(np.int64)),
-                            ids.take(pa.array(owner)),
-                            pa.array(hashes[owner]),
-                            pa.array(np.concatenate([p for _, p, _ in rows])),
-                        ],
-                        schema=schema,
-                    )
+                size = int(offsets[k - i + 1] - offsets[k - i])
+                _, h, first = anchors(data[offsets[k - i] : offsets[k - i + 1]])
+                if len(h):
+                    rows.append((k, h, first, np.append(first[1:], size - MATCH + 1) - 1))
+                    held += len(h)
+            if rows and (held > 1 << 17 or j == batch.num_rows):
+                owner = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
+                h, first, last = (np.concatenate([r[c] for r in rows]) for c in (1, 2, 3))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h.view(np.int64)),
+                        ids.take(pa.array(owner)),
+                        pa.array(hashes[owner]),
+                        pa.array(first.astype(np.int32)),
+                        pa.array(last.astype(np.int32)),
+                    ],
+                    schema=schema,
+                )
                 rows, held = [], 0
 
 
-CONTEXT = "block int, h long, doc_id long, th long, start long, windows int, bytes binary"
+CONTEXT = "block int, h long, windows int, bytes binary, owners binary"
 WINDOW = "window long, doc_id long, th long, start long"
 
 
 def _contexts(blocks: int, hot: bool):
-    """For every range of windows its bytes, to the block of its anchor; or, of hot anchors, a hash per window."""
+    """For every anchor that occurs again the bytes of its stretches, to the block of the anchor, with the owners
+    (document, text hash, start: three longs each); or, of hot anchors, a hash per stretch and owner.
+
+    Equal contexts that lie together, as in periodic text and copies, go once with all their owners.
+    """
     schema = arrow_schema(WINDOW if hot else CONTEXT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, held = [], 0
-            for i, j, data, offsets in text_pieces(batch.column("text")):
-                for k in range(i, j):
-                    text = data[offsets[k - i] : offsets[k - i + 1]]
-                    places, h, first = anchors(text)
-                    last = np.append(first[1:], len(text) - MATCH + 1) - 1
-                    listed = batch.column("__places")[k].values
-                    there = listed.field("place").to_numpy()
-                    again = np.isin(places, there)
-                    is_hot = np.isin(places, there[listed.field("hot").to_numpy(zero_copy_only=False)])
-                    doc_id, th = batch.column("__id")[k].as_py(), batch.column("__th")[k].as_py()
-                    for a in np.flatnonzero(again & (is_hot == hot)):
-                        lo, hi = int(first[a]), int(last[a])
-                        piece = text[lo : hi + MATCH].tobytes()
-                        if hot:
-                            for s in range(hi - lo + 1):
-                                digest = hashlib.blake2b(piece[s : s + MATCH], digest_size=8).digest()
-                                rows.append((int.from_bytes(digest, "little", signed=True), doc_id, th, lo + s))
-                        else:
-                            rows.append((int(h[a] % U(blocks)), int(h[a].astype(np.int64)), doc_id, th, lo, hi - lo + 1, piece))
-                        held += len(piece)
-                    if held > 1 << 22:
-                        yield _batch(rows, schema)
-                        rows, held = [], 0
-            if rows:
+        owners: dict[tuple[int, bytes], list[int]] = {}
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not hot:
+                rows = [
+                    (h % blocks, h, len(piece) - MATCH + 1, piece, np.array(own, np.int64).tobytes())
+                    for (h, piece), own in owners.items()
+                ]
                 yield _batch(rows, schema)
+                return
+            for (_, piece), own in owners.items():
+                own = np.array(own, np.int64).reshape(-1, 3)
+                data = np.frombuffer(piece, np.uint8)
+                starts = np.arange(len(piece) - MATCH + 1)
+                hashes = span_hashes(data, starts, starts + MATCH).view(np.int64)
+                for at in range(0, len(own), 1 << 12):
+                    part = own[at : at + (1 << 12)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.tile(hashes, len(part))),
+                            *[pa.array(np.repeat(part[:, c], len(starts))) for c in (0, 1)],
+                            pa.array((part[:, 2][:, None] + starts).ravel()),
+                        ],
+                        schema=schema,
+                    )
+
+        for batch in batches:
+            ids, hashes = batch.column("__id").to_pylist(), batch.column("__th").to_pylist()
+            for k, (doc_id, th) in enumerate(zip(ids, hashes, strict=True)):
+                text = batch.column("text")[k].as_buffer()
+                listed = batch.column("__places")[k].values
+                chosen = listed.filter(pc.equal(listed.field("hot"), hot))
+                fields = (chosen.field(c).to_pylist() for c in ("h", "first", "last"))
+                for h, first, last in zip(*fields, strict=True):
+                    piece = bytes(text[first : last + MATCH])
+                    known = owners.get((h, piece))
+                    if known is None:
+                        owners[h, piece] = [doc_id, th, first]
+                        held += len(piece) + 24
+                    else:
+                        known += (doc_id, th, first)
+                        held += 24
+                if held > 1 << 23:
+                    yield from flush()
+                    owners, held = {}, 0
+        if owners:
+            yield from flush()
 
     return run
 
@@ -194,39 +233,42 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def repeated_windows(pieces: list[bytes], windows: np.ndarray, keep_first: bool) -> list[tuple[int, np.ndarray]]:
+def repeated_windows(pieces: list[bytes], keep_first: bool) -> list[tuple[int, np.ndarray]]:
     """(context, flag of each of its windows) of the contexts with windows to remove.
 
     Contexts come in the order of documents and places, and those of one block hold all occurrences of their
     windows. In suffix order, with ties by place, the suffixes that agree on MATCH bytes stand together; the
     previous smaller place of one is then the entry before it, and its longest previous factor reaches MATCH if that
     entry agrees. Those are later copies. If none is to be kept, the first of them goes as well: its next entry
-    agrees. Contexts with equal bytes are ranked once.
+    agrees. Contexts with equal bytes are ranked once, and contexts none of whose windows has the same hash as
+    another are left out: they have no factor of MATCH bytes.
     """
     first: dict[bytes, int] = {}
     like = [first.setdefault(p, i) for i, p in enumerate(pieces)]
     own = sorted(set(like))  # by first place
     times = np.bincount(like, minlength=len(pieces))[own]
-    data = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)
-    at = np.concatenate(([0], np.cumsum([len(pieces[i]) for i in own])))[:-1]
-    counts = windows[own]
-    owner = np.repeat(np.arange(len(own)), counts)
-    begin = np.concatenate(([0], np.cumsum(counts)))
-    starts = np.repeat(at, counts) + np.arange(len(owner)) - np.repeat(begin[:-1], counts)
-    if len(own) > 1:
-        rank = suffix_ranks(data, starts).astype(np.int64)
-    else:
-        rank = suffix_ranks(data, starts).astype(np.int64) if len(starts) > 1 else np.zeros(len(starts), np.int64)
-    n = int(rank.max(initial=-1)) + 1
+    data, starts, owner = _laid_out([pieces[i] for i in own])
+    _, group, sizes = np.unique(span_hashes(data, starts, starts + MATCH), return_inverse=True, return_counts=True)
+    hopeful = times > 1
+    np.logical_or.at(hopeful, owner, sizes[group] > 1)
+    own, times = [i for i, ok in zip(own, hopeful.tolist(), strict=True) if ok], times[hopeful]
+    if not own:
+        return []
+    data, starts, owner = _laid_out([pieces[i] for i in own])
+    rank = suffix_ranks(data, starts).astype(np.int64)
+    n = int(rank.max()) + 1
     total = np.bincount(rank, weights=times[owner], minlength=n)
     earliest = np.full(n, len(starts), np.int64)
     np.minimum.at(earliest, rank, np.arange(len(starts)))
     found = total[rank] >= 2
-    later = found & (earliest[rank] != np.arange(len(starts)))  # has a previous factor in another context or before it
+    later = found & (earliest[rank] != np.arange(len(starts)))
+    begin = np.searchsorted(owner, np.arange(len(own) + 1))
     number = {i: k for k, i in enumerate(own)}
     out = []
     for i, origin in enumerate(like):
-        k = number[origin]
+        k = number.get(origin)
+        if k is None:
+            continue
         part = slice(begin[k], begin[k + 1])
         flags = later[part] if keep_first and origin == i else found[part]
         if flags.any():
@@ -234,20 +276,30 @@ def repeated_windows(pieces: list[bytes], windows: np.ndarray, keep_first: bool)
     return out
 
 
+def _laid_out(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts end to end: their bytes, the starts of their windows, and whose window each is."""
+    sizes = np.array([len(p) for p in pieces])
+    counts = sizes - MATCH + 1
+    owner = np.repeat(np.arange(len(pieces)), counts)
+    at = np.cumsum(sizes) - sizes
+    begin = np.cumsum(counts) - counts
+    return np.frombuffer(b"".join(pieces), np.uint8), np.arange(len(owner)) - begin[owner] + at[owner], owner
+
+
 def _block_spans(keep_first: bool):
     schema = arrow_schema(SPANS)
 
     def run(table: pa.Table) -> pa.Table:
-        names = ["h", "doc_id", "th", "start"]
-        table = table.sort_by([(n, "ascending") for n in names])
-        if keep_first and table.num_rows > 1:  # rows equal in id and text are one document
-            keys = np.stack([table.column(n).to_numpy() for n in names])
-            table = table.filter(pa.array(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))))
-        h = table.column("h").to_numpy()
-        size = pa.compute.binary_length(table.column("bytes")).to_numpy()
-        doc_id, th, start = (table.column(c) for c in ("doc_id", "th", "start"))
-        begins = start.to_numpy()
-        windows = table.column("windows").to_numpy()
+        pieces = table.column("bytes").to_pylist()
+        lists = [np.frombuffer(x, np.int64).reshape(-1, 3) for x in table.column("owners").to_pylist()]
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        doc_id, th, start = np.concatenate(lists).T
+        h = table.column("h").to_numpy()[row]
+        order = np.lexsort((start, th, doc_id, h))
+        if keep_first:  # rows equal in id and text are one document
+            keys = np.stack([x[order] for x in (h, doc_id, th, start)])
+            order = order[np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))]
+        h, doc_id, th, start, row = (x[order] for x in (h, doc_id, th, start, row))
         heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         tails = np.append(heads[1:], len(h))
         rows, lows, highs = [], [], []
@@ -255,26 +307,23 @@ def _block_spans(keep_first: bool):
         held = 0
 
         def work() -> None:
-            pieces = table.column("bytes").take(pa.array(chunk)).to_pylist()
-            for i, flags in repeated_windows(pieces, windows[chunk], keep_first):
+            for i, flags in repeated_windows([pieces[r] for r in row[chunk]], keep_first):
                 low, high = _runs(flags)
                 rows.extend([chunk[i]] * len(low))
-                lows.extend((begins[chunk[i]] + low).tolist())
-                highs.extend((begins[chunk[i]] + high - 1 + MATCH).tolist())
+                lows.extend((start[chunk[i]] + low).tolist())
+                highs.extend((start[chunk[i]] + high - 1 + MATCH).tolist())
 
         for a, z in zip(heads.tolist(), tails.tolist(), strict=True):
             if z - a == 1:
-                # Alone with its anchor: repeats can only lie within this one context, and need the same first anchor.
-                continue
+                continue  # equal stretches have the same anchor in two places
             chunk.extend(range(a, z))
-            held += int(size[a:z].sum())
-            if held > 2 * BLOCK_BYTES:  # anchors do not share windows, so a large block goes in parts
+            held += sum(len(pieces[r]) for r in set(row[a:z].tolist()))
+            if held > 2 * BLOCK_BYTES:  # anchors do not share stretches, so a large block goes in parts
                 work()
                 chunk, held = [], 0
         if chunk:
             work()
-        where = pa.array(rows, pa.int64())
-        arrays = [doc_id.take(where), th.take(where), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())]
+        arrays = [pa.array(doc_id[rows]), pa.array(th[rows]), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())]
         return pa.table(arrays, schema=schema)
 
     return run
@@ -305,20 +354,22 @@ def repeated_spans(keyed: DataFrame, keep_first: bool, scratch: Scratch, hot: in
     """Spans of repeated bytes of each text of `keyed`, gathered: __id, __th, __spans (unmerged)."""
     spark = keyed.sparkSession
     short = keyed.select(F.col("__id").alias("doc_id"), F.col("__th").alias("th"), "text")
-    rows = short.filter(F.octet_length("text") >= MATCH).mapInArrow(_anchor_rows, ANCHOR)
+    rows = scratch.store(short.filter(F.octet_length("text") >= MATCH).mapInArrow(_anchor_rows, ANCHOR))
     found = rows.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1")
     # Summed before the shuffle; the join deals a hot anchor's rows by adaptive splitting.
-    again = scratch.store(rows.join(found, "h").select("doc_id", "th", "place", (F.col("times") > hot).alias("hot")).distinct())
+    again = scratch.store(rows.join(found, "h").select("doc_id", "th", "h", "first", "last", (F.col("times") > hot).alias("hot")))
+    scratch.drop(rows)
     facts = again.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot")).first()
     listed = again.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
-        F.collect_list(F.struct("place", "hot")).alias("__places")
+        F.collect_list(F.struct("h", "first", "last", "hot")).alias("__places")
     )
     # All columns go along, so that this shuffle of the texts is the one that the last join uses.
     with_places = keyed.join(listed, ["__id", "__th"])
     blocks = max(shuffle_partitions(spark), ceil_div(facts["n"] * (MATCH + SPAN // 2), BLOCK_BYTES))
     spans = with_places.mapInArrow(_contexts(blocks, False), CONTEXT).groupBy("block").applyInArrow(_block_spans(keep_first), SPANS)
     if facts["hot"]:
-        windows = with_places.mapInArrow(_contexts(blocks, True), WINDOW)
+        some = with_places.filter(F.exists("__places", lambda x: x["hot"]))
+        windows = some.mapInArrow(_contexts(blocks, True), WINDOW)
         place = F.struct("doc_id", "th", "start")
         several = windows.groupBy("window").agg(F.count("*").alias("times"), F.min(place).alias("first")).filter("times > 1")
         over = windows.join(several, "window")
