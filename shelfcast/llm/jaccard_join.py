@@ -38,8 +38,8 @@ BUCKET_KEYS = 250_000
 SAMPLE_OF, HOT_IN_SAMPLE = 64, 64
 # Members of a group that are compared with each other in one step, and rows of such steps in one task.
 BLOCK, TASK_ROWS = 512, 20_000
-# Bits of the filter of sets to fetch: a fixed 4 MB that only spares work.
-FILTER_BITS = 1 << 25
+# Bits of the filter of sets to fetch: a fixed 2 MB that only spares work.
+FILTER_BITS = 1 << 24
 _WORD_PLACES = mix(np.arange(1, SHINGLE + 1, dtype=U) * U(0xA24BAED4963EE407)) | U(1)
 
 
@@ -363,7 +363,7 @@ def _cross_pairs(table: pa.Table) -> pa.Table:
     """Pairs of a block pair's members from different components that sizes and sketches do not rule out."""
     frame = table.to_pandas()
     out = set()
-    for (_, low, high), part in frame.groupby(["gid", "low", "high"], sort=False):
+    for (_, low, high), part in frame.groupby(["area", "low", "high"], sort=False):
         part = part.sort_values(["n", "fp"])
         fp, n, comp, block = (part[c].to_numpy() for c in ("fp", "n", "comp", "block"))
         own = [_words_of(s) for s in part["sketch"]]
@@ -408,8 +408,9 @@ def near_duplicates(
     3. Every group's members are compared with its two smallest members by two hashes (a star, not all
        pairs), and similar ones linked into components.
     4. Within groups that still span several components, members of different components are compared by
-       sketch, block by block, and what the sketch leaves by whole sets. Then no link between
-       components is left: pairs in one component need no check, all others that share a key had one.
+       sketch, block by block, and what the sketch leaves by whole sets. Groups of which one component holds
+       half are compared as one area, since they share most members. Then no link between components is left:
+       pairs in one component need no check, all others that share a key had one.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -437,11 +438,10 @@ def near_duplicates(
         .mapInArrow(_filter_words, "place int, bits long")
         .groupBy("place")
         .agg(F.bit_or("bits").alias("bits"))
-        .collect()
+        .toArrow()  # at most FILTER_BITS / 64 rows
     )
     bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words:  # at most FILTER_BITS / 64 rows
-        bits[r["place"]] = r["bits"]
+    bits[words.column("place").to_numpy()] = words.column("bits").to_numpy()
     shared = spark.sparkContext.broadcast(bits.tobytes())
     sets = scratch.store(texts.mapInArrow(_fetched_sets(shared), SET))
 
@@ -457,27 +457,31 @@ def near_duplicates(
     labelled = groups.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "gid", "fp", F.coalesce("component", "fp").alias("comp")
     )
-    spread = (
-        labelled.groupBy("gid")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k"))
-        .filter("x <> y AND k > 2")  # two members were each other's star
-        .select("gid", "k")
+    # Groups that a component dominates overlap by most of their members; they are compared as one.
+    dominant = (
+        labelled.groupBy("gid", "comp")
+        .agg(F.count("*").alias("n"))
+        .groupBy("gid")
+        .agg(F.sum("n").alias("k"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"))
+        .filter("comps > 1 AND k > 2")  # two members were each other's star
     )
-    open_groups = scratch.store(labelled.join(spread, "gid"))
-    rows = open_groups.count()
+    by_comp = (F.col("top.n") > 1) & (F.col("top.n") * 2 >= F.col("k"))
+    label = F.when(by_comp, F.xxhash64(F.lit(1), "top.comp")).otherwise(F.xxhash64(F.lit(0), "gid"))
+    spread = dominant.select("gid", label.alias("area"))
+    open_areas = scratch.store(labelled.join(spread, "gid").select("area", "fp", "comp").distinct())
+    rows = open_areas.count()
     more = None
     if rows:
-        blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-        block = F.pmod(F.xxhash64("fp", "gid"), F.col("blocks")).cast("int")
+        sizes = open_areas.groupBy("area").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         dealt = (
-            open_groups.withColumn("blocks", blocks)
-            .withColumn("block", block)
+            open_areas.join(sizes, "area")
+            .withColumn("block", F.pmod(F.xxhash64("fp", "area"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("gid", "fp", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-            .join(sets.select("fp", "n", "sketch"), "fp")
+            .select("area", "fp", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+            .join(sets.select("fp", "n", "sketch").distinct(), "fp")
         )
         tasks = max(partitions, ceil_div(rows, TASK_ROWS))
-        dealt = dealt.withColumn("task", F.pmod(F.xxhash64("gid", "low", "high"), F.lit(tasks)).cast("int"))
+        dealt = dealt.withColumn("task", F.pmod(F.xxhash64("area", "low", "high"), F.lit(tasks)).cast("int"))
         crossing = dealt.groupBy("task").applyInArrow(_cross_pairs, "a long, b long").distinct()
         fresh = scratch.store(crossing.join(pairs, ["a", "b"], "left_anti"))
         more = _verified(fresh, sets, scratch)
