@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.boosting import Trees, fit_trees
-from shelfcast.llm.common import arrow_schema, ship
+from shelfcast.llm.common import arrow_schema, bounded_sample, ship
 
 # Elements by their role in HTML.
 BLOCKS = frozenset(
@@ -522,7 +522,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     ship(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    sample = rows.filter(F.octet_length("html") <= SAMPLE_BYTES).orderBy(F.xxhash64("page_id", "url"), "html").limit(SAMPLE_PAGES)
+    sample = bounded_sample(rows.filter(F.octet_length("html") <= SAMPLE_BYTES), ["page_id", "url", "html"], SAMPLE_PAGES)
     trees = fit_extractor([r["html"] for r in sample.select("html").collect()])
     shared = spark.sparkContext.broadcast([t.parts() for t in trees])
     return rows.mapInArrow(_extracted(shared), RESULT)
