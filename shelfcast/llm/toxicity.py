@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from shelfcast.llm.common import U, arrow_schema, ship, span_hashes, text_pieces, word_spans
+from shelfcast.llm.common import U, arrow_schema, bounded_sample, ship, span_hashes, text_pieces, word_spans
 
 # Letters are a-z and all bytes of longer characters; what stands between them parts words.
 NO_LETTER = np.ones(256, dtype=bool)
@@ -159,11 +159,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
         docs.select("doc_id")
         .filter(F.col("doc_id").isNotNull() & ~held_out_fold("doc_id"))
         .join(marks.filter("toxic = 1"), "doc_id", "left")
-        .select("doc_id", F.coalesce("toxic", F.lit(0)).alias("toxic"), F.xxhash64("doc_id").alias("h"))
+        .select("doc_id", F.coalesce("toxic", F.lit(0)).alias("toxic"))
     )
 
     def some(rows: DataFrame, toxic: int, most: int) -> DataFrame:
-        first = rows.select("doc_id", "h").distinct().orderBy("h", "doc_id").limit(most)
+        first = bounded_sample(rows.select("doc_id").distinct(), ["doc_id"], most)
         return first.select("doc_id", F.lit(toxic).alias("toxic"))
 
     # The unlabelled sample stands for all rows, confirmed ones among them, as the class prior does. At most so
