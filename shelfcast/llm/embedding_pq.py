@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import Scratch, arrow_schema, components, ship
+from shelfcast.llm.common import Scratch, arrow_schema, bounded_sample, components, ship
 
 THRESHOLD = 0.9
 # Training sample, by hash of the vector: at most so many rows and so many bytes. All else sees all vectors.
@@ -207,7 +207,7 @@ def _linked(classes: DataFrame, total: int, scratch: Scratch, threshold: float)
     spark = classes.sparkSession
     width = len(classes.select("vector").first()["vector"])
     rows = min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // width))
-    sample = classes.select("cid", "vector").orderBy(F.xxhash64("cid"), "cid").limit(rows).collect()
+    sample = bounded_sample(classes.select("cid", "vector"), ["cid"], rows).select("vector").collect()
     units = unit_rows(np.stack([np.frombuffer(r["vector"], np.float32) for r in sample])).astype(np.float32)
     quantiser = Quantiser.fit(units, total)
     shared = spark.sparkContext.broadcast((quantiser.coarse, quantiser.books, quantiser.probes))  # bounded by MOST_LISTS
