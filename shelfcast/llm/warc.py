@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import Scratch, arrow_schema, ship, shuffle_partitions
+from shelfcast.llm.common import Scratch, arrow_schema, bounded_sample, ship, shuffle_partitions
 
 # The format's line ends and record end, and the least payload that is worth a revisit record.
 CRLF = "\r\n"
@@ -279,7 +279,7 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def _splitters(pages: DataFrame, ranges: int, per_range: int = 20) -> list[tuple[str, str]]:
     """Bounds of the merge ranges, from a sample of bounded size; they only balance the tasks."""
-    sample = pages.select("page_id", "url").orderBy(F.xxhash64("page_id", "url")).limit(ranges * per_range).collect()
+    sample = bounded_sample(pages.select("page_id", "url"), ["page_id", "url"], ranges * per_range).collect()
     keys = sorted((url_key(r["url"]), "") for r in sample)
     return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
 
