@@ -76,10 +76,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
     # The leaf-wise flavour with its real parameters, on the bounded sample of the boosted-tree queries.
     start = time.perf_counter()
-    train, val = q._model_parts(spark, SF_DIR)
-    rows_used = train.count(), val.count()
+    train, learn, val = q._model_parts(spark, SF_DIR)
+    rows_used = learn.count(), val.count()
     prepared = time.perf_counter()
-    model = q.fit_forecaster(train, val, q.LEAF_WISE)
+    model = q.fit_forecaster(train, val, q.LEAF_WISE, learn)
     training = {
         "train_rows": rows_used[0],
         "val_rows": rows_used[1],

@@ -30,6 +30,7 @@ from shelfcast.sources.ingest import read_layer, read_raw, read_report, typed
 from shelfcast.sources.schemas import BENCHMARK, RAW, SUBMISSION
 from shelfcast.sources.sinks import write_series_table
 from shelfcast.spec import DemandSpec, feature_columns
+from shelfcast.workload import queries
 from shelfcast.workload.tables import SPEC, RetailTables
 
 # Two years keep the run short; every rule of the full calendar occurs in them.
@@ -138,6 +139,18 @@ def test_one_encoding_at_every_size(spark, out):
     assert len(stages) == 1
 
 
+def test_stores_outside_the_learning_rows_keep_their_codes(spark, sf_dir, monkeypatch):
+    """Fewer learning rows than stores: every store of the train part still has a code of its own."""
+    monkeypatch.setattr(queries, "LABELLED_ROWS", 5)
+    train, learn, val = queries._model_parts(spark, sf_dir)
+    stores = train.select("store_nbr").distinct()
+    params = replace(LEAF_WISE, rounds=1, depth=2, patience=1, min_rows_per_leaf=1)
+    model = fit_forecaster(train, val, params, learn)
+    assert learn.count() == 5 < stores.count()
+    codes = model.transform(train).select("store_nbr", "e_store_nbr").distinct().collect()
+    assert len(codes) == stores.count() == len({r["e_store_nbr"] for r in codes})
+
+
 def test_early_stop_equals_a_full_fit(spark, out):
     features = read_layer(spark, f"{out}/features").filter("log_sales IS NOT NULL")
     train, val = features.filter("date < '2001-01-01'"), features.filter("date >= '2001-01-01'")
