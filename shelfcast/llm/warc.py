@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -189,7 +191,7 @@ def order_key(entry: tuple) -> tuple:
 RUN = "range int, run string, entries binary"
 
 
-def _runs(splitters: list[tuple[str, str]]):
+def _runs(splitters: list[tuple]):
     """Each archive becomes a run: its index entries in order, cut where a merge range ends."""
     schema = arrow_schema(RUN)
 
@@ -197,10 +199,10 @@ def _runs(splitters: list[tuple[str, str]]):
         entries.sort(key=order_key)
         at = 0
         while at < len(entries):
-            part = bisect_right(splitters, (entries[at][5], entries[at][6]))
-            upto = at + 1
-            while upto < len(entries) and (part == len(splitters) or (entries[upto][5], entries[upto][6]) < splitters[part]):
-                upto += 1
+            part = bisect_right(splitters, order_key(entries[at]))
+            upto = len(entries)
+            if part < len(splitters):
+                upto = bisect_left(entries, splitters[part], lo=at + 1, key=order_key)
             yield part, entries[at][7], json.dumps(entries[at:upto]).encode()
             at = upto
 
@@ -277,18 +279,32 @@ def _merge(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _splitters(pages: DataFrame, ranges: int, per_range: int = 20) -> list[tuple[str, str]]:
-    """Bounds of the merge ranges, from a sample of bounded size; they only balance the tasks."""
-    sample = bounded_sample(pages.select("page_id", "url"), ["page_id", "url"], ranges * per_range).collect()
-    keys = sorted((url_key(r["url"]), "") for r in sample)
-    return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
+def _splitters(pages: DataFrame, ranges: int, files: list[str], per_cut: int, per_range: int = 20) -> list[tuple]:
+    """Bounds of the merge ranges by `order_key`, from a sample of bounded size; they only balance the tasks.
+
+    Rows are sampled by their place in the table, so that equal rows are in the sample by their number. Rows that
+    share URL key, time and page, as those without url and id do, differ only in their place: where they fill
+    more than a range, they are cut at every `per_cut`-th archive.
+    """
+    url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))  # as in the records
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.monotonically_increasing_id().alias("uid"))
+
+    def key(page: int | None, url: str | None) -> tuple:
+        time = datetime.fromtimestamp(EPOCH + (page or 0) % EPOCH, UTC)
+        return url_key(url), time.strftime("%Y%m%d%H%M%S"), page is None, page or 0
+
+    keys = sorted(key(r["page_id"], r["url"]) for r in bounded_sample(rows, ["uid"], ranges * per_range).collect())
+    bounds = Counter(keys[i * len(keys) // ranges] for i in range(1, ranges)) if keys else {}
+    cuts = sorted(files)[::per_cut]
+    return sorted((*k, file, -1) for k, n in bounds.items() for file in ("", *(cuts if n > 1 else ())))
 
 
-def capture_history(spark: SparkSession, path: str, splitters: list[tuple[str, str]]) -> DataFrame:
+def capture_history(spark: SparkSession, path: str, splitters: list[tuple]) -> DataFrame:
     """The archives' capture index in global order: by `range`, then `position`.
 
-    Every archive is read once, as a stream, and gives a sorted run. Ranges of (URL key, time) are merged
-    apart from each other, each by a loser tree over the runs' cuts, so no task sees more than its range.
+    Every archive is read once, as a stream, and gives a sorted run. Ranges of `order_key` are merged
+    apart from each other, each by a loser tree over the runs' cuts, so no task sees more than its range. A URL
+    with many captures spreads over as many ranges.
     """
     ship(spark)
     lines = (
@@ -312,4 +328,5 @@ def archived_pages(pages: DataFrame, scratch: Scratch | None = None, range_entri
     path = scratch.path()
     write_warc(pages, path)
     ranges = max(shuffle_partitions(spark), pages.count() // range_entries)
-    return capture_history(spark, path, _splitters(pages, ranges))
+    files = [f.rpartition("/")[2] for f in spark.read.text(path).inputFiles()]
+    return capture_history(spark, path, _splitters(pages, ranges, files, max(1, range_entries // FILE_RECORDS)))

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
 from pathlib import Path
 
 from shelfcast.llm import warc
@@ -53,6 +54,19 @@ def test_files_are_warc(spark, run_dir):
     assert sorted(found) == sorted(r[2] for r in data)
 
 
+def test_hot_urls_spread_over_ranges(spark):
+    """A third of the rows have one URL, another third neither id nor url; ranges stay near their size."""
+    data = [(i, "http://hot.example/", f"<p>{i}</p>") for i in range(1000)]
+    data += [(None, None, f"<p>none {i}</p>") for i in range(1000)]
+    data += [(i, f"http://h{i}.example/", f"<p>{i}</p>") for i in range(1000, 2000)]
+    out = warc.archived_pages(pages(spark, data).repartition(40), range_entries=100).collect()
+    assert Counter(r.payload_digest for r in out) == Counter(hashlib.sha256(h.encode()).hexdigest() for *_, h in data)
+    assert max(Counter(r.range for r in out).values()) <= 300
+    history = sorted(out, key=lambda r: (r.range, r.position))
+    keys = [(r.url_key, r.captured, r.page_id is None, r.page_id or 0, r.file, r.offset) for r in history]
+    assert keys == sorted(keys)
+
+
 def test_empty(spark):
     assert warc.archived_pages(pages(spark, [])).count() == 0
 
