@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import arrow_schema, ship, shuffle_partitions
+from shelfcast.llm.common import Scratch, arrow_schema, ship
 from shelfcast.llm.mixing import word_count
 
 # Words of a bin, documents of one source that a bin takes at most, and pieces that one task packs, about.
@@ -152,7 +152,8 @@ def best_fit_packing(
 
     Pieces are dealt at random, by hash, into shards of about `shard_items`; every shard packs its own bins. So a hot
     source or cluster spreads like everything else, tasks are bounded, and what is lost against one big
-    packing is a few open bins per shard. Null or wordless texts have one piece of size 0 without a bin (null
+    packing is a few open bins per shard. The number of shards follows from the number of pieces alone, so the
+    session's partitions do not change the packing. Null or wordless texts have one piece of size 0 without a bin (null
     bin_id, slot and free). Null sources are one source. Repeated rows are packed each. An empty table gives
     an empty one.
     """
@@ -160,6 +161,7 @@ def best_fit_packing(
     ship(spark)
     cluster = F.col(cluster_col) if cluster_col else F.col(text_col)
     # The row number keeps repeated rows apart; it follows the order in which the files are read.
+    # Stored without the texts, since words are counted once for the number of shards and the pieces themselves.
     sized = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
@@ -167,14 +169,15 @@ def best_fit_packing(
         F.xxhash64(cluster).alias("cluster"),
         F.monotonically_increasing_id().alias("uid"),
     )
+    sized = Scratch(spark, "packing").store(sized)
     n_pieces = F.greatest(F.ceil(F.col("words") / capacity), F.lit(1)).cast("int")
     pieces = sized.withColumn("n_pieces", n_pieces).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)).alias("piece")
     )
     size = F.least(F.col("words") - F.col("piece").cast("long") * capacity, F.lit(capacity)).cast("long")
     pieces = pieces.withColumn("size", size)
-    # Ids are counted, not texts: about one piece each, and more for the words beyond.
-    shards = max(shuffle_partitions(spark), docs.count() // shard_items)
+    placed = F.sum(F.when(F.col("words") > 0, F.col("n_pieces")))
+    shards = max(1, -(-(sized.withColumn("n_pieces", n_pieces).agg(placed).first()[0] or 0) // shard_items))
     shard = F.pmod(F.xxhash64("doc_id", "uid", "piece"), F.lit(shards)).cast("int")
     packed = (
         pieces.filter("size > 0")

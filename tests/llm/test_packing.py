@@ -68,6 +68,21 @@ def test_whole_table(spark):
     assert len([r for r in out if r.doc_id == 2000]) == 10
 
 
+def test_pieces_alone_set_the_shards(spark):
+    """200 short documents and one of 300 pieces, 100 pieces a shard, whatever partitions the session has."""
+    data = [(i, f"{i} " * (i % 7 + 1), "ab"[i % 2]) for i in range(200)] + [(200, "w " * 2400, "c")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(p.best_fit_packing(docs, capacity=8, shard_items=100).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+    assert {r.bin_id >> 32 for r in found[0]} == set(range(5))
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert p.best_fit_packing(docs).count() == 0
