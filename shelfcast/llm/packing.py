@@ -14,6 +14,8 @@ from shelfcast.llm.mixing import word_count
 CAPACITY = 2048
 PER_SOURCE = 2
 SHARD_ITEMS = 8192
+# Copies of a text's component, so that a hot text's rows spread over as many tasks.
+SALTS = 16
 
 
 class Bins:
@@ -133,6 +135,15 @@ def _pack_shard(capacity: int, per_source: int):
     return run
 
 
+def _near_copies(sized: DataFrame, groups: DataFrame) -> DataFrame:
+    """`sized` with the components of `groups` (th, component) as clusters in place of the texts' hashes."""
+    named = groups.filter("component IS NOT NULL").groupBy(F.col("th").alias("cluster")).agg(F.min("component").alias("component"))
+    named = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = sized.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
+    joined = dealt.join(named, ["cluster", "salt"], "left").withColumn("cluster", F.coalesce("component", "cluster"))
+    return joined.select(*sized.columns)
+
+
 def best_fit_packing(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -142,12 +153,13 @@ def best_fit_packing(
     text_col: str = "text",
     source_col: str = "source",
     cluster_col: str | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Where each piece of each document goes: doc_id, source, piece, n_pieces, size, bin_id, slot, free.
 
     A document longer than `capacity` words is cut into pieces of that many and one with the rest. A bin takes
     pieces of `capacity` words in all, at most `per_source` of one source, and none of a duplicate cluster it
-    already has (`cluster_col`, or else equal texts). Each piece goes into the tightest bin that takes it, or opens
+    already has (`cluster_col`, or else near copies by `groups`, what `near_duplicates` gives for these rows, or else equal texts). Each piece goes into the tightest bin that takes it, or opens
     one. `slot` counts from 0 within a bin; `free` are the words that the bin has left at the end.
 
     Pieces are dealt at random, by hash, into shards of about `shard_items`; every shard packs its own bins. So a hot
@@ -169,6 +181,8 @@ def best_fit_packing(
         F.xxhash64(cluster).alias("cluster"),
         F.monotonically_increasing_id().alias("uid"),
     )
+    if groups is not None:
+        sized = _near_copies(sized, groups)
     sized = Scratch(spark, "packing").store(sized)
     n_pieces = F.greatest(F.ceil(F.col("words") / capacity), F.lit(1)).cast("int")
     pieces = sized.withColumn("n_pieces", n_pieces).select(

@@ -58,7 +58,8 @@ def op8_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return best_fit_packing(docs, groups=near_duplicates(docs))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

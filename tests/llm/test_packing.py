@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 from shelfcast.llm import packing as p
+from shelfcast.llm.queries import op9_best_fit_packing
 
 
 def brute(sizes, sources, clusters, capacity, per_source):
@@ -83,6 +84,20 @@ def test_pieces_alone_set_the_shards(spark):
     assert {r.bin_id >> 32 for r in found[0]} == set(range(5))
 
 
+def test_near_copies_share_no_bin(spark, run_dir):
+    """Copies that differ in case or a blank, and near ones; wordless texts and a null id among them."""
+    random.seed(3)
+    text = " ".join(random.choice("abcdefgh") + str(random.randrange(999)) for _ in range(60))
+    near = [text, text.upper(), text.replace(" ", "  ", 1), text + " more", "less " + text]
+    data = [(i, t, f"s{i}") for i, t in enumerate(near)] + [(None, text, "n"), (90, "", "n"), (91, None, "n")]
+    data += [(100 + i, f"w{i} v{i} u{i}", f"o{i % 9}") for i in range(50)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(f"{run_dir}/documents.parquet")
+    out = op9_best_fit_packing(spark, run_dir).collect()
+    assert len(out) == len(data) and sum(r["size"] for r in out) == sum(len((t or "").split()) for _, t, _ in data)
+    bins = [r.bin_id for r in out if r.doc_id is None or r.doc_id < len(near)]
+    assert len(bins) == len(set(bins)) == len(near) + 1
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert p.best_fit_packing(docs).count() == 0
