@@ -46,9 +46,9 @@ class Scratch:
         self.count += 1
         return f"{self.base}/{self.count}"
 
-    def store(self, df: DataFrame) -> DataFrame:
+    def store(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         path = self.path()
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         stored = self.spark.read.schema(df.schema).parquet(path)
         stored.scratch_path = path
         return stored

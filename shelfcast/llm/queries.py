@@ -12,7 +12,9 @@ from shelfcast.llm.jaccard_join import near_duplicates
 from shelfcast.llm.licenses import license_scan
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.packing import best_fit_packing
+from shelfcast.llm.periodic_runs import run_digests, with_planted_runs
 from shelfcast.llm.suffix_dedup import repeated_passages
+from shelfcast.llm.token_files import tokens_written_and_read
 from shelfcast.llm.toxicity import toxicity_scores
 from shelfcast.llm.warc import LEAST_REVISIT, archived_pages
 from shelfcast.llm.winnowing import fingerprints
@@ -66,6 +68,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_written_and_read(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(with_planted_runs(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extract": op1_html_extract,
     "op2_jaccard_join": op2_jaccard_join,
@@ -77,6 +87,8 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_pq": op8_embedding_pq,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_token_files": op11_token_files,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Distinct shingles of every document, by DuckDB's own hash; then links, and what they reach.
