@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.llm.conversation_repair import damaged_and_repaired
 from shelfcast.llm.embedding_pq import near_vectors
 from shelfcast.llm.html_extract import extract_main_text
 from shelfcast.llm.jaccard_join import near_duplicates
@@ -72,6 +73,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_written_and_read(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(with_planted_runs(table(spark, sf_dir, "documents")))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
