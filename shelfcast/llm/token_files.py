@@ -9,6 +9,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +30,7 @@ MOST_BITS = 18
 # Ids of a block, ids between two places where decoding can start, and ids of a file, about.
 BLOCK_IDS, CHECKPOINT_IDS, FILE_IDS = 1 << 16, 256, 1 << 22
 # Bytes of text tokenized in one step, and distinct words whose ids a worker remembers.
-PIECE_BYTES, REMEMBERED = 1 << 23, 1 << 20
+PIECE_BYTES, REMEMBERED = 1 << 21, 1 << 19
 
 
 # Tokenizing -----------------------------------------------------------------------------------
@@ -102,6 +103,12 @@ class WordIds:
         return self.ids[source], upto[np.searchsorted(places, offsets)]
 
 
+@cache
+def words_of(path: str) -> WordIds:
+    """One per worker process, so that tasks go on with the words of those before."""
+    return WordIds(path)
+
+
 TOKENS = "doc_id long, th long, uid long, n long, ids binary"
 
 
@@ -111,7 +118,7 @@ def _tokens(path: str, kind: str):
     width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = words_of(path)
         for batch in batches:
             for i, j, data, offsets in text_pieces(batch.column("text"), PIECE_BYTES):
                 ids, upto = words(data, offsets)
