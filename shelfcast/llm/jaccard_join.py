@@ -38,8 +38,12 @@ BUCKET_KEYS = 250_000
 SAMPLE_OF, HOT_IN_SAMPLE = 64, 64
 # Members of a group that are compared with each other in one step, and rows of such steps in one task.
 BLOCK, TASK_ROWS = 512, 20_000
-# Bits of the filter of sets to fetch: a fixed 2 MB that only spares work.
-FILTER_BITS = 1 << 24
+# Hot keys that the driver sends to all tasks at most (the most frequent; others stay in buckets).
+MOST_HOT = 1 << 20
+# Bits per set of the filter of sets to fetch, and its largest size (32 MB); more sets are found by a join.
+FILTER_BITS_A_SET, MOST_FILTER_BITS = 16, 1 << 28
+# Bytes of sets that are compared in one step and in one task, about.
+BLOCK_BYTES, TASK_BYTES = 1 << 24, 1 << 25
 _WORD_PLACES = mix(np.arange(1, SHINGLE + 1, dtype=U) * U(0xA24BAED4963EE407)) | U(1)
 
 
@@ -135,49 +139,39 @@ def keys(own: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-PROFILE = "doc_id long, th long, n_shingles long, fp long"
-PACKED = "bucket int, keys binary, fps binary"
-
-
-def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema(PROFILE)
-    for batch in batches:
-        facts = [(len(own), fingerprint(own) if len(own) else 0) for own in shingle_sets(batch.column("text"))]
-        counts, fps = zip(*facts, strict=True) if facts else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("th"), pa.array(counts, pa.int64()), pa.array(fps, pa.int64())],
-            schema=schema,
-        )
+PACKED = "bucket int, keys binary, fps binary, ids binary, ths binary"
+NULL_ID = 1 << 62
 
 
 def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema("key long, fp long")
     for batch in batches:
         for own in shingle_sets(batch.column("text")):
-            fp = fingerprint(own) if len(own) else 1
-            if fp % SAMPLE_OF == 0:
-                found = keys(own).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), fp))], schema=schema)
+            found = keys(own).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), fingerprint(own)))], schema=schema)
 
 
 def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
     """Keys and their sets' classes, packed by bucket: the top of a key tells the bucket, the next 40 bits stay.
-    Hot keys are kept whole and dealt at random to the buckets below zero."""
+    Hot keys are kept whole and dealt at random to the buckets below zero. Each document's size and class go the same
+    way, to the buckets from `buckets` on, so that a text is shingled once for both."""
     schema = arrow_schema(PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, fps, held, flushes = [], [], 0, 0
+        found, fps, facts, held, flushes = [], [], [], 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal flushes
             flushes += 1
-            key, fp = np.concatenate(found), np.repeat(np.array(fps, np.int64), [len(k) for k in found])
-            rows = []
+            key = np.concatenate([np.empty(0, U), *found])
+            fp = np.repeat(np.array(fps, np.int64), [len(k) for k in found])
+            known = np.array(facts, np.int64).T
+            rows = [(buckets + flushes * 7919 % buckets if len(facts) else 0, *[column.tobytes() for column in known])]
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
                 is_hot = hot[at] == key
                 if is_hot.any():
-                    rows.append((-1 - (flushes * 7919 + int(fp[0] & 1023)) % salts, key[is_hot].tobytes(), fp[is_hot].tobytes()))
+                    rows.append((-1 - (flushes * 7919 + int(fp[0] & 1023)) % salts, key[is_hot].tobytes(), fp[is_hot].tobytes(), None, None))
                 key, fp = key[~is_hot], fp[~is_hot]
             part = ((key >> U(32)) * U(buckets)) >> U(32)
             order = np.argsort(part, kind="stable")
@@ -186,38 +180,52 @@ def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
             short = (key & U((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5]
             for k in np.flatnonzero(np.diff(cuts)):
                 a, z = cuts[k], cuts[k + 1]
-                rows.append((int(k), short[a:z].tobytes(), fp[a:z].tobytes()))
+                rows.append((int(k), short[a:z].tobytes(), fp[a:z].tobytes(), None, None))
             names = schema.names
             for i in range(0, len(rows), 4096):
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i : i + 4096]], schema=schema)
 
         for batch in batches:
-            for own in shingle_sets(batch.column("text")):
+            ids, ths = batch.column("doc_id"), batch.column("th").to_numpy().tolist()
+            for doc_id, th, own in zip(ids.to_pylist(), ths, shingle_sets(batch.column("text")), strict=True):
+                fp = fingerprint(own) if len(own) else 0
+                facts.append((len(own) | (NULL_ID if doc_id is None else 0), fp, doc_id or 0, th))
                 some = keys(own)
                 if len(some):
                     found.append(some)
-                    fps.append(fingerprint(own))
-                    held += len(some)
+                    fps.append(fp)
+                held += len(some) + 1
                 if held > 1 << 19:
                     yield from flush()
-                    found, fps, held = [], [], 0
-        if found:
+                    found, fps, facts, held = [], [], [], 0
+        if facts:
             yield from flush()
 
     return run
 
 
-GROUP = "gid long, fp long"
+GROUP = "gid long, fp long, n_shingles long, doc_id long, th long"
+
+
+def _groups(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        raw = b"".join(table.column("keys").to_pylist())
+        fp = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.int64)
+        schema = arrow_schema(GROUP)
+        if bucket >= buckets:
+            ids, ths = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("ids", "ths"))
+            n = np.frombuffer(raw, np.int64)
+            columns = [pa.nulls(len(n), pa.int64()), fp, n & ~NULL_ID, pa.array(ids, mask=n & NULL_ID != 0), ths]
+            return pa.table([pa.array(c) for c in columns], schema=schema)
+        gid, fp = (np.frombuffer(raw, np.int64), fp) if bucket < 0 else _sharing(raw, fp)
+        return pa.table([pa.array(gid), pa.array(fp), *[pa.nulls(len(fp), pa.int64())] * 3], schema=schema)
+
+    return run
 
 
-def _groups(table: pa.Table) -> pa.Table:
+def _sharing(raw: bytes, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes that share a key, a group each: (gid, fp). Groups of the same classes share a gid, and are given once."""
-    bucket = table.column("bucket")[0].as_py()
-    raw = b"".join(table.column("keys").to_pylist())
-    fp = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.int64)
-    schema = arrow_schema(GROUP)
-    if bucket < 0:
-        return pa.table([pa.array(np.frombuffer(raw, np.int64)), pa.array(fp)], schema=schema)
     key = np.zeros((len(fp), 8), np.uint8)
     key[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
     key = key.view(U).ravel()
@@ -237,7 +245,7 @@ def _groups(table: pa.Table) -> pa.Table:
     starts = np.flatnonzero(head)
     sizes = np.diff(np.append(starts, len(key)))
     if not len(starts):
-        return pa.table([pa.array([], pa.int64())] * 2, schema=schema)
+        return np.empty(0, np.int64), fp
     gid = mix(np.add.reduceat(mix(fp.view(U)), starts) + sizes.astype(U))
     several = sizes > 1
     chosen = np.flatnonzero(several)
@@ -245,7 +253,7 @@ def _groups(table: pa.Table) -> pa.Table:
     keep = np.zeros(len(starts), bool)
     keep[chosen[once]] = True
     rows = np.repeat(keep, sizes)
-    return pa.table([pa.array(np.repeat(gid, sizes)[rows].view(np.int64)), pa.array(fp[rows])], schema=schema)
+    return np.repeat(gid, sizes)[rows].view(np.int64), fp[rows]
 
 
 # Sets and verification ----------------------------------------------------------------------------
@@ -270,30 +278,31 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def filter_places(fp: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    first = mix(fp.view(U) ^ mix(doc_id.view(U)))
-    return np.stack([(first >> U(s)) & U(FILTER_BITS - 1) for s in (0, 32)], axis=-1).astype(np.int64)
+def filter_places(th: np.ndarray, bits: int) -> np.ndarray:
+    first = mix(th.view(U))
+    return np.stack([(first >> U(s)) & U(bits - 1) for s in (0, 32)], axis=-1).astype(np.int64)
 
 
 SET = "fp long, n int, sketch binary, members binary"
 
 
 def _fetched_sets(shared):
-    """Sets of the documents that the filter lets through; a few others come along and are never asked for."""
+    """Sets of the texts that the filter lets through, by their hash; a few others come along and are never asked for.
+    Without a filter, of all texts. Equal texts of a batch give one."""
     schema = arrow_schema(SET)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
+        bits = np.frombuffer(shared.value, np.uint8) if shared else None
         for batch in batches:
+            _, some = np.unique(batch.column("th").to_numpy(), return_index=True)
+            if bits is not None:
+                at = filter_places(batch.column("th").to_numpy()[some], 8 * len(bits))
+                some = some[(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)]
             rows, held = [], 0
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+            for own in shingle_sets(batch.column("text").take(pa.array(some))):
                 if not len(own):
                     continue
-                fp = fingerprint(own)
-                at = filter_places(np.array([fp]), np.array([doc_id if doc_id is not None else -1]))[0]
-                if not (bits[at >> 3] >> (at & 7) & 1).all():
-                    continue
-                rows.append((fp, len(own), sketch(own), own.tobytes()))
+                rows.append((fingerprint(own), len(own), sketch(own), own.tobytes()))
                 held += 8 * len(own)
                 if held > 1 << 22:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -304,13 +313,41 @@ def _fetched_sets(shared):
     return run
 
 
-def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema("place int, bits long")
-    for batch in batches:
-        at = filter_places(batch.column("fp").to_numpy(), batch.column("doc_id").to_numpy()).ravel()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((at >> 6).astype(np.int32)), pa.array((U(1) << (at & 63).astype(U)).view(np.int64))], schema=schema
+def _filter_words(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema("place int, bits long")
+        for batch in batches:
+            at = filter_places(batch.column("th").to_numpy(), bits).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> 6).astype(np.int32)), pa.array((U(1) << (at & 63).astype(U)).view(np.int64))], schema=schema
+            )
+
+    return run
+
+
+def _sets_of(texts: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row per class of `wanted` (fp, th: the hash of one of its texts), with its size, sketch and set.
+
+    A filter by text hash goes to all tasks, sized by the number of classes, and spares the other texts their
+    shingling; where it would get too large, the texts are joined instead.
+    """
+    spark = texts.sparkSession
+    bits = 1 << max(10, (FILTER_BITS_A_SET * wanted.count()).bit_length())
+    if bits <= MOST_FILTER_BITS:
+        words = (
+            wanted.select("th")
+            .mapInArrow(_filter_words(bits), "place int, bits long")
+            .groupBy("place")
+            .agg(F.bit_or("bits").alias("bits"))
+            .toArrow()  # at most MOST_FILTER_BITS / 64 rows
         )
+        filled = np.zeros(bits // 64, np.int64)
+        filled[words.column("place").to_numpy()] = words.column("bits").to_numpy()
+        fetched = texts.mapInArrow(_fetched_sets(spark.sparkContext.broadcast(filled.tobytes())), SET)
+    else:
+        fetched = texts.join(wanted.select("th"), "th", "left_semi").mapInArrow(_fetched_sets(None), SET)
+    # Copies of a text give one set per batch they lie in; one per class stays.
+    return scratch.store(fetched.join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]))
 
 
 def _words_of(value: bytes) -> np.ndarray:
@@ -387,63 +424,130 @@ def _cross_pairs(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], schema=arrow_schema("a long, b long"))
 
 
+def _linked(table: pa.Table) -> pa.Table:
+    """For members of block pairs, the documents of other classes that link with them, summed by class.
+
+    Shared shingles are counted on bitmaps over the shingles that two members at least have, so all pairs of two blocks
+    cost a few passes over a small matrix and none becomes a row.
+    """
+    total: dict[int, int] = {}
+    table = table.sort_by([("component", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
+    keys_ = np.stack([table.column(c).to_numpy() for c in ("component", "low", "high")])
+    heads = np.flatnonzero(np.concatenate(([True], (keys_[:, 1:] != keys_[:, :-1]).any(axis=0))))
+    columns = [table.column(c).to_numpy() for c in ("fp", "n", "block", "times")]
+    members = table.column("members").to_pylist()
+    for a, z in zip(heads.tolist(), [*heads[1:].tolist(), table.num_rows], strict=True):
+        fp, n, block, times = (c[a:z] for c in columns)
+        n = n.astype(np.int64)
+        lone = keys_[1, a] == keys_[2, a]
+        sets = [_words_of(x) for x in members[a:z]]
+        _, which, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = np.cumsum(often > 1) - 1
+        width = int(common[-1]) + 1
+        bits = np.zeros((z - a, -(-max(1, width) // 64) * 8), np.uint8)
+        at = 0
+        for k, own in enumerate(sets):
+            mine = which[at : at + len(own)]
+            at += len(own)
+            flags = np.zeros(bits.shape[1] * 8, bool)
+            flags[common[mine[often[mine] > 1]]] = True
+            bits[k] = np.packbits(flags)
+        bits = bits.view(U)
+        links = np.zeros(z - a, np.int64)
+        for i in range(z - a - 1):
+            upto = int(np.searchsorted(n, n[i] * DENOMINATOR // NUMERATOR, side="right"))
+            if upto <= i + 1:
+                continue
+            shared = np.bitwise_count(bits[i + 1 : upto] & bits[i]).sum(axis=1, dtype=np.int64)
+            near = DENOMINATOR * shared >= NUMERATOR * (n[i] + n[i + 1 : upto] - shared)
+            if not lone:
+                near &= block[i + 1 : upto] != block[i]
+            links[i] += times[i + 1 : upto][near].sum()
+            links[i + 1 : upto][near] += times[i]
+        for key, count in zip(fp.tolist(), links.tolist(), strict=True):
+            total[key] = total.get(key, 0) + count
+    return pa.table([pa.array(list(c), pa.int64()) for c in (total.keys(), total.values())], schema=arrow_schema("fp long, linked long"))
+
+
+def _links_of(parts: DataFrame, sizes: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
+    """fp, linked: of every class in a component, the documents of other classes that link with it.
+
+    All that link lie in one component, so its members are compared with each other, block by block; a large component
+    is as many steps as it has pairs of blocks.
+    """
+    members = parts.select(F.col("node").alias("fp"), "component").join(sizes, "fp").join(sets.select("fp", "n", "members"), "fp")
+    bytes_ = F.sum(F.col("n").cast("long") * 8)
+    blocks = parts.select(F.col("node").alias("fp"), "component").join(sets.select("fp", "n"), "fp").groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(bytes_ / BLOCK_BYTES)).cast("int").alias("blocks"), bytes_.alias("bytes")
+    )
+    work = blocks.agg(F.sum(F.col("blocks") * F.col("bytes"))).first()[0] or 0
+    tasks = max(partitions, ceil_div(int(work), TASK_BYTES))
+    dealt = (
+        members.join(blocks.select("component", "blocks"), "component")
+        .withColumn("block", F.pmod(F.xxhash64("fp", "component"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .withColumn("task", F.pmod(F.xxhash64("component", "low", "high"), F.lit(tasks)).cast("int"))
+    )
+    counted = dealt.select("task", "component", "low", "high", "block", "fp", "n", "times", "members").groupBy("task")
+    return counted.applyInArrow(_linked, "fp long, linked long").groupBy("fp").agg(F.sum("linked").alias("linked"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     scratch: Scratch | None = None,
     sample_of_hot: int = HOT_IN_SAMPLE,
+    links: bool = False,
 ) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, the smallest id that links reach; then `th`, the text's
-    xxhash64, and `component`, a number for the component (null for texts without words).
+    xxhash64, `component`, a number for the component, and `class`, one for its set (null for texts without words); and
+    with `links` also n_links, the other rows that link with it directly.
 
     Two documents link when 100 * shared shingles >= 80 * all shingles of both. Texts without words (null too) have
     no shingles and link with nothing: their component is their own id. Equal sets are one class, so copies
     cost one row each and are never paired. Rows with a null id take part; they never name a component unless
     nothing else is in it. Repeated rows are rows of their own. Columns not named are not read.
 
-    1. One pass gives each document its set's size and class; one gives the keys, packed by bucket.
-    2. Buckets give groups of classes that share a key. A key that a hash sample of the sets shows to be hot
-       skips the buckets: its members stay rows, dealt over tasks.
+    1. A sample of the texts shows which keys are hot. One pass then shingles each text, and gives its set's size and
+       class, and its keys, packed by bucket.
+    2. Buckets give groups of classes that share a key. A hot key skips the buckets: its members stay rows, dealt
+       over tasks. Each class in a group gets its set from one text, once.
     3. Every group's members are compared with its two smallest members by two hashes (a star, not all
        pairs), and similar ones linked into components.
     4. Within groups that still span several components, members of different components are compared by
        sketch, block by block, and what the sketch leaves by whole sets. Groups of which one component holds
        half are compared as one area, since they share most members. Then no link between components is left:
        pairs in one component need no check, all others that share a key had one.
+    5. With `links`, the members of each component are compared with each other, by whole sets.
     """
     spark = docs.sparkSession
     ship(spark)
     scratch = scratch or Scratch(spark, "jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hashed = texts.withColumn("th", F.xxhash64("text"))
-    profile = scratch.store(hashed.mapInArrow(_profiles, PROFILE))
-    facts = profile.agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("rows")).first()
-    total = facts["shingles"] or 0
-
-    sampled = texts.select("text").mapInArrow(_sampled_keys, "key long, fp long").distinct()
-    hot_rows = sampled.groupBy("key").count().filter(F.col("count") >= sample_of_hot).select("key").collect()
+    texts = texts.withColumn("th", F.xxhash64("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    # One text in SAMPLE_OF, chosen in the JVM; copies of a text are in or out together.
+    some = texts.filter(F.pmod(F.xxhash64("th", F.lit(5)), F.lit(SAMPLE_OF)) == 0).select("text")
+    sampled = some.mapInArrow(_sampled_keys, "key long, fp long").distinct()
+    often = sampled.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= sample_of_hot)
+    hot_rows = often.orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key").collect()
     hot = np.sort(np.array([r["key"] for r in hot_rows], np.int64).view(U))
 
     partitions = shuffle_partitions(spark)
-    buckets = max(partitions, ceil_div(int(total * 0.4), BUCKET_KEYS))
-    packed = texts.select("text").mapInArrow(_packed_keys(buckets, hot, partitions), PACKED)
-    groups = scratch.store(packed.groupBy("bucket").applyInArrow(_groups, GROUP).distinct())
-
-    # Each class's set is fetched from the text of one of its documents.
-    classes = profile.filter("n_shingles > 0").groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("doc_id"))
-    wanted = classes.join(groups.select("fp").distinct(), "fp", "left_semi")
-    words = (
-        wanted.select("fp", "doc_id")
-        .mapInArrow(_filter_words, "place int, bits long")
-        .groupBy("place")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()  # at most FILTER_BITS / 64 rows
-    )
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words.column("place").to_numpy()] = words.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(bits.tobytes())
-    sets = scratch.store(texts.mapInArrow(_fetched_sets(shared), SET))
+    buckets = max(partitions, ceil_div(size // 16, BUCKET_KEYS))  # a key for every 16 bytes, about
+    packed = texts.mapInArrow(_packed_keys(buckets, hot, partitions), PACKED)
+    made = scratch.store(packed.groupBy("bucket").applyInArrow(_groups(buckets), GROUP))
+    profile = made.filter("n_shingles IS NOT NULL").select("doc_id", "th", "n_shingles", "fp")
+    groups = scratch.store(made.filter("n_shingles IS NULL").select("gid", "fp").distinct())
+
+    # Each class's set is fetched from one of its texts.
+    classes = profile.filter("n_shingles > 0").groupBy("fp").agg(F.min("th").alias("th"))
+    wanted = scratch.store(classes.join(groups.select("fp").distinct(), "fp", "left_semi"))
+    sets = _sets_of(texts, wanted, scratch)
 
     def star(salt: int) -> DataFrame:
         rank = F.struct(F.xxhash64("fp", F.lit(salt)).alias("r"), "fp")
@@ -478,7 +582,7 @@ def near_duplicates(
             .withColumn("block", F.pmod(F.xxhash64("fp", "area"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("area", "fp", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-            .join(sets.select("fp", "n", "sketch").distinct(), "fp")
+            .join(sets.select("fp", "n", "sketch"), "fp")
         )
         tasks = max(partitions, ceil_div(rows, TASK_ROWS))
         dealt = dealt.withColumn("task", F.pmod(F.xxhash64("area", "low", "high"), F.lit(tasks)).cast("int"))
@@ -490,18 +594,22 @@ def near_duplicates(
     if more is not None:
         parts = scratch.store(components(links.union(more), scratch))
 
-    smallest = profile.filter("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"))
-    of_class = smallest.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
+    sizes = profile.filter("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("times"))
+    of_class = sizes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     of_component = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
-    answer = of_class.join(of_component, "component").select("fp", "component_id", "component")
-    names = ["doc_id", "n_shingles", "component_id", "th", "component"]
-    some = profile.filter("n_shingles > 0").join(answer, "fp").select(*names)
-    none = profile.filter("n_shingles = 0").withColumns(
-        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}
-    )
-    return some.union(none.select(*names))
+    answer = of_class.join(of_component, "component").select("fp", "component_id", "component", (F.col("times") - 1).alias("n_links"))
+    names = ["doc_id", "n_shingles", "component_id", "th", "component", F.col("fp").alias("class")]
+    if links:
+        counted = scratch.store(_links_of(parts, sizes.select("fp", "times"), sets, partitions))
+        answer = answer.join(counted, "fp", "left").withColumn("n_links", F.col("n_links") + F.coalesce("linked", F.lit(0)))
+        names.append("n_links")
+    found = profile.filter("n_shingles > 0").join(answer, "fp").select(*names)
+    nothing = F.lit(None).cast("long")
+    none = profile.filter("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "th", nothing.alias("component"), nothing.alias("class"),
+        *([F.lit(0).cast("long").alias("n_links")] if links else []),
+    )
+    return found.union(none)
 
 
 def one_of_each_group(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return near_duplicates(table(spark, sf_dir, "documents"), links=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,9 +118,11 @@ ORACLES: dict[str, str] = {
                 SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
                 FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
             JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
-        {_REACHED}
-        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
-        FROM documents LEFT JOIN sizes USING (doc_id)
+        {_REACHED},
+        direct AS (SELECT a AS doc_id, count(*) AS k FROM sides GROUP BY a)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+            coalesce(k, 0)::BIGINT AS n_links
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN direct USING (doc_id)
             LEFT JOIN (SELECT id AS doc_id, min(other) AS low FROM reached GROUP BY id) USING (doc_id)""",
     "op8_embedding_pq": f"""
         WITH RECURSIVE vectors AS (

@@ -2,7 +2,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.llm import jaccard_join as j
 
@@ -29,11 +31,12 @@ def brute(data):
             y = shingles[k]
             if x and y and 100 * len(x & y) >= 80 * len(x | y):
                 up[root(i)] = root(k)
+    links = [sum(bool(x and y) and 100 * len(x & y) >= 80 * len(x | y) for y in shingles) - bool(x) for x in shingles]
     low = {}
     for i, (doc, *_) in enumerate(data):
         r = root(i)
         low[r] = doc if low.get(r) is None else low[r] if doc is None else min(low[r], doc)
-    return sorted(((d, len(shingles[i]), low[root(i)]) for i, (d, *_) in enumerate(data)), key=str)
+    return sorted(((d, len(shingles[i]), low[root(i)], links[i]) for i, (d, *_) in enumerate(data)), key=str)
 
 
 def corpus(seed, n=150):
@@ -60,8 +63,40 @@ def test_against_brute_force(spark, seed):
     data += [(5000, None, ""), (5001, "", ""), (5002, " \n\t", ""), (None, None, ""), (None, data[0][1], ""), (5003, data[0][1], ""), (5003, data[0][1], "")]
     data += [(5004, "long words here " * 20000, ""), (5005, "Long words here " * 20001, "")]
     docs = spark.createDataFrame(data, "doc_id long, text string, component_id string")
-    out = j.near_duplicates(docs, sample_of_hot=64 if seed == 1 else 1).collect()
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == brute(data)
+    out = j.near_duplicates(docs, sample_of_hot=64 if seed == 1 else 1, links=True).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in out), key=str) == brute(data)
+
+
+def test_links_of_a_component_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(j, "BLOCK", 7)
+    base = [f"w{k}" for k in range(60)]
+    data = []
+    for i in range(40):  # neighbours are near, those further apart are not
+        words = [f"x{i}_{k}" if k < i else w for k, w in enumerate(base[: 60 - i % 3])]
+        data.append((i, " ".join(words), ""))
+    out = j.near_duplicates(spark.createDataFrame(data, "doc_id long, text string, x string"), links=True).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in out), key=str) == brute(data)
+
+
+def test_many_rows_without_ids_and_many_equal_rows(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words), " ".join([*words[:-1], "x"])]
+    rows = [(None, near[k % 2]) for k in range(6000)] + [(k % 2, near[k % 2].upper()) for k in range(2000)]
+    out = j.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), links=True)
+    found = {(r.doc_id, r.component_id, r.n_links): r.n for r in out.groupBy("doc_id", "component_id", "n_links").agg(F.count("*").alias("n")).collect()}
+    assert found == {(None, 0, 7999): 6000, (0, 0, 7999): 1000, (1, 0, 7999): 1000}
+
+
+def test_sets_are_one_per_class(spark, monkeypatch):
+    rows = [(None, "a b c d e f g h") for _ in range(500)] + [(7, "A b c d e f g  h")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").withColumn("th", F.xxhash64("text")).repartition(6)
+    own = next(j.shingle_sets(pa.array([rows[0][1]])))
+    for most in (1 << 28, 1):  # by the filter, by the join
+        monkeypatch.setattr(j, "MOST_FILTER_BITS", most)
+        fp = j.fingerprint(own)
+        wanted = texts.groupBy().agg(F.min("th").alias("th")).select(F.lit(fp).alias("fp"), "th")
+        sets = j._sets_of(texts, wanted, j.Scratch(spark, "test")).collect()
+        assert [(r.fp, r.n, bytes(r.members)) for r in sets] == [(fp, 4, own.tobytes())]
 
 
 def test_empty(spark):
