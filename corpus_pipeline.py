@@ -23,11 +23,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold, as they were."""
+    """Documents whose toxicity score is below the threshold, with all their columns as they were."""
     params = ToxicityParams()
     model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), params)
-    kept = score_toxicity(docs, model, params.threshold).filter("predicted = 0")
-    return kept.select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("text", F.struct(*[F.col(c) for c in others]).alias("row"))  # so that no name of theirs clashes
+    kept = score_toxicity(rows, model, params.threshold).filter("predicted = 0")
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +44,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, as often as it takes them; of a source's last one, its first words."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "source")]
-    mixed = mix_sources(docs, keep=tuple(rest))
-    whole = mixed.filter("copies > 0").withColumn("_n", F.explode(F.expr("sequence(1, copies)"))).drop("_n")
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    mixed = mix_sources(docs, keep=tuple(docs.columns)).select("copies", "part", "kept")
+    whole = mixed.filter("copies > 0").withColumn("n", F.explode(F.expr("sequence(1, copies)")))
+    whole = whole.select(*[F.col("kept")[c].alias(c) for c in docs.columns])
+    words = F.regexp_extract_all(F.col("kept")["text"], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), "")
-    part = mixed.filter("part > 0").withColumn("text", cut)
+    new = {"text": cut}
     if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.unionByName(part).select(*docs.columns)
+        new["n_chars"] = F.length(cut).cast(docs.schema["n_chars"].dataType)
+    part = mixed.filter("part > 0").select(*[new.get(c, F.col("kept")[c]).alias(c) for c in docs.columns])
+    return whole.unionByName(part)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

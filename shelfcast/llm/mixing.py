@@ -69,7 +69,8 @@ def mix_sources(
     most: int = MOST_TIMES,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, source, size, source_size, target, taken, and the `keep` columns.
+    """One row per row of `docs`: doc_id, source, size, source_size, target, taken, copies, part; and with `keep` the
+    struct `kept` of these columns.
 
     A source whose target is q whole times its size and a rest gives every document q times, and those
     documents once more whose hash lies below the source's threshold. The threshold comes from nested
@@ -80,17 +81,18 @@ def mix_sources(
 
     Null text has size 0. A null source is a source of its own, the last. Rows with equal ids are decided
     together. Sources without words have target 0. An empty table gives an empty one. Columns of `docs` not
-    named stay out, so clashing names do no harm.
+    named stay out, and `keep` ones lie in a struct, so clashing names do no harm.
     """
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
     hashed = F.xxhash64(F.col(id_col), F.lit(17)).bitwiseAND(F.lit((1 << (BITS * LEVELS)) - 1))
+    kept = [F.struct(*[F.col(c) for c in keep]).alias("kept")] if keep else []
     rows = scratch.store(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(text_col).alias("size"),
             hashed.alias("h"),
-            *[F.col(c).alias(c) for c in keep],
+            *kept,
         )
     )
 
@@ -156,7 +158,7 @@ def mix_sources(
         (F.col("size") * copies + part).alias("taken"),
         copies.alias("copies"),
         part.alias("part"),
-        *keep,
+        *(["kept"] if keep else []),
     )
 
 

@@ -1,6 +1,7 @@
 import random
 
 import test_jaccard_join as near
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfcast.llm.jaccard_join import one_of_each_group
@@ -80,3 +81,21 @@ def test_odd_rows_pass_all_stages(spark, sf_dir):
             docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), stage(spark, docs, sf_dir).schema)
         if not rows:
             assert docs.count() == 0
+
+
+def test_clashing_columns_pass_all_stages(spark, sf_dir):
+    names = ["size", "h", "target", "copies", "part", "score", "predicted", "taken", "kept", "row", "words", "uid", "shard", "cluster", "th", "component", "class", "__id", "__row", "n"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 3000")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k} "), F.col("doc_id").cast("string")))
+    texts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs, sf_dir)
+        if name == "packing":
+            assert rows.count() >= docs.count()
+            break
+        kept = rows.collect()
+        assert rows.columns == docs.columns and kept
+        assert all(r[c] == f"{k} {r.doc_id}" for r in kept for k, c in enumerate(names)), name
+        texts[name] = len(kept)
+        docs = spark.createDataFrame(kept, docs.schema)
