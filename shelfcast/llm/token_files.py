@@ -6,6 +6,7 @@ ids, the bit at which decoding can start.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,65 +30,101 @@ VOCABULARY = "byte_bpe_50k.json"
 MOST_BITS = 18
 # Ids of a block, ids between two places where decoding can start, and ids of a file, about.
 BLOCK_IDS, CHECKPOINT_IDS, FILE_IDS = 1 << 16, 256, 1 << 22
-# Bytes of text tokenized in one step, and distinct words whose ids a worker remembers.
-PIECE_BYTES, REMEMBERED = 1 << 21, 1 << 19
+# Bytes of text tokenized in one step, distinct words whose ids a worker remembers, and new words of a string.
+PIECE_BYTES, REMEMBERED, WORDS_A_STRING = 1 << 21, 1 << 21, 256
 
 
 # Tokenizing -----------------------------------------------------------------------------------
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places where texts laid end to end can be cut without a change of their ids; every text's start is one.
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+POINT = np.zeros(256, bool)
+POINT[list(b".,;:!?)")] = True
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where texts laid end to end can be cut without a change of their ids, every text's start among them; and
+    whether the words between them may also be tokenized one behind the other.
 
     The vocabulary's splitting pattern never runs from a visible character on to white space, so each place
-    before an ASCII white space that follows a visible character will do. Characters that could be other
-    white space (those with first byte C2, E1, E2 or E3) are not told apart, and are no place to cut behind.
+    before an ASCII white space that follows a visible character will do, and so will one before a point that follows
+    a letter or digit. Characters that could be other white space (those with first byte C2, E1, E2 or E3) are not told
+    apart, and are no place to cut behind. Words from white space to such a cut keep their ids behind each other.
     """
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    ok = space.copy()
-    ok[:1] = False
-    ok[1:] &= ~space[:-1]
-    ok[2:] &= data[:-2] != 0xC2
-    ok[3:] &= (data[:-3] < 0xE1) | (data[:-3] > 0xE3) | (data[2:-1] < 0x80)
-    places = np.zeros(len(data) + 1, bool)
-    places[:-1] = ok
-    places[offsets] = True
-    return np.flatnonzero(places)
+    space = SPACE[data]
+    seen = ~space  # whether what ends here is surely visible
+    seen[1:] &= data[:-1] != 0xC2
+    seen[2:] &= (data[:-2] < 0xE1) | (data[:-2] > 0xE3) | (data[1:-1] < 0x80)
+    letter = ALNUM[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # all but two of these are letters
+    ruled = np.zeros(len(data) + 1, bool)
+    ruled[1:-1] = (seen[:-1] & space[1:]) | (letter[:-1] & POINT[data[1:]])
+    all_ = ruled.copy()
+    all_[offsets] = True
+    places = np.flatnonzero(all_)
+    return places, space[places[:-1]] & ruled[places[1:]]
+
+
+def byte_lengths(tokenizer: Tokenizer) -> np.ndarray:
+    """Bytes that each id stands for. Only byte-level vocabularies have them: a character of a token is a byte."""
+    kind = json.loads(tokenizer.to_str())["pre_tokenizer"]
+    if not kind or kind["type"] != "ByteLevel" or kind["add_prefix_space"]:
+        raise ValueError("a byte-level vocabulary without a prefix space is needed")
+    vocabulary = tokenizer.get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    out[list(vocabulary.values())] = [len(token) for token in vocabulary]
+    return out
 
 
 class WordIds:
     """Ids of texts, each distinct word tokenized once for as long as it is remembered.
 
-    Words are told apart by 64-bit hashes; among n different ones two meet with odds n^2 / 2^65.
+    Words are told apart by 64-bit hashes; among n different ones two meet with odds n^2 / 2^65. New words are handed
+    to the tokenizer in strings of many, which it takes much faster than one by one.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        self.lengths = byte_lengths(self.tokenizer)
         self.remembered = remembered
-        self.hashes = np.empty(0, U)
-        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        self._forget()
 
     def _forget(self) -> None:
-        self.hashes, self.ids = np.empty(0, U), np.empty(0, np.uint32)
-        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
-        starts = len(self.ids) + np.cumsum(counts) - counts
+        self.hashes = np.empty(0, U)
+        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.ids = np.empty(0, np.uint16 if len(self.lengths) <= 1 << 16 else np.uint32)
+
+    def _learn(self, hashes: np.ndarray, words: pa.Array, sizes: np.ndarray, joint: np.ndarray) -> None:
+        """Remembers new words (hashes ascending), those of `joint` put one behind the other."""
+        order = np.concatenate((np.flatnonzero(joint), np.flatnonzero(~joint)))
+        listed = words.take(pa.array(order)).to_pylist()
+        together = int(joint.sum())
+        strings = ["".join(listed[k : min(k + WORDS_A_STRING, together)]) for k in range(0, together, WORDS_A_STRING)]
+        found = self.tokenizer.encode_batch_fast(strings + listed[together:], add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(e.ids for e in found), self.ids.dtype)
+        ends = np.cumsum(self.lengths[flat])
+        last = np.searchsorted(ends, np.cumsum(sizes[order]))
+        if not np.array_equal(ends[last], np.cumsum(sizes[order])):
+            raise ValueError("ids run across the ends of words")
+        counts = np.diff(last, prepend=-1)
+        starts = np.empty(len(order), np.int64)
+        starts[order] = len(self.ids) + last + 1 - counts
+        number = np.empty(len(order), np.int32)
+        number[order] = counts
         merged = np.concatenate((self.hashes, hashes))
-        order = np.argsort(merged, kind="stable")
-        self.hashes = merged[order]
-        self.starts = np.concatenate((self.starts, starts))[order]
-        self.counts = np.concatenate((self.counts, counts))[order]
+        place = np.argsort(merged, kind="stable")
+        self.hashes = merged[place]
+        self.starts = np.concatenate((self.starts, starts))[place]
+        self.counts = np.concatenate((self.counts, number))[place]
         self.ids = np.concatenate((self.ids, flat))
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of UTF-8 texts laid end to end, and the number of ids up to each text's start."""
-        places = cuts(data, offsets)
+        places, joint = cuts(data, offsets)
         hashes = span_hashes(data, places[:-1], places[1:])
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > self.remembered:
@@ -95,9 +132,9 @@ class WordIds:
         new = first[~np.isin(distinct, self.hashes, assume_unique=True)]
         if len(new):
             words = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data))
-            self._learn(hashes[new], words.take(pa.array(new)).to_pylist())
+            self._learn(hashes[new], words.take(pa.array(new)), np.diff(places)[new], joint[new])
         at = np.searchsorted(self.hashes, distinct)
-        counts, begin = self.counts[at][which], self.starts[at][which]
+        counts, begin = self.counts[at].astype(np.int64)[which], self.starts[at][which]
         upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
         source = np.arange(upto[-1]) + np.repeat(begin - upto[:-1], counts)
         return self.ids[source], upto[np.searchsorted(places, offsets)]
@@ -389,8 +426,10 @@ def _counted(kind: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                total += np.bincount(np.frombuffer(value.as_buffer(), kind), minlength=size)
+            column = batch.column("ids").cast(pa.large_binary())
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            ids = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]].view(kind)
+            total += np.bincount(ids, minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
