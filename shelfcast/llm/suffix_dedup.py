@@ -3,7 +3,8 @@
 Text places that cannot be in a repeat are ruled out first. Every stretch of MATCH bytes has an anchor, its
 minimiser, chosen by its content alone; so a stretch that occurs twice has the same anchor twice, and one whose
 anchor occurs once does not. What is left is cut into contexts and brought together by anchor, so equal
-stretches meet in one block, where a suffix array of the contexts is built.
+stretches meet in one block. There the suffixes are sorted, and the previous and the next smaller position of each in
+that order give its longest previous factor: the longest match that starts earlier.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -34,12 +36,26 @@ from shelfcast.llm.common import (
 # Bytes of the shortest repeat, and bytes of an anchor; any MATCH bytes hold SPAN anchor places.
 MATCH, GRAM = 200, 40
 SPAN = MATCH - GRAM + 1
-# Context bytes of a block, about; an anchor that occurs more often than HOT has its windows counted as rows.
+# Context bytes of a block, about. The contexts of an anchor that occurs more often than HOT are dealt to blocks by the
+# bytes beside it too, in PARTS parts, and leave their owners behind.
 BLOCK_BYTES = 300_000
 HOT = 100_000
+PARTS = 4
 _POWER = 0xD1342543DE82EF95
 
 
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of each GRAM bytes in a row."""
+    h, power, reach = BYTE_CODES[data], _POWER, 1
+    while reach < 32:
+        if reach == 8:
+            eight, eighth = h, power
+        h = h[:-reach] * U(power) + h[reach:]
+        power, reach = power * power & 0xFFFFFFFFFFFFFFFF, 2 * reach
+    count = len(data) - GRAM + 1  # 40 bytes: 32, then 8
+    return mix(h[:count] * U(eighth) + eight[32 : 32 + count])
+
+
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places and 64-bit hashes of a text's anchors, and the first stretch that each is the anchor of.
 
@@ -54,14 +70,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     step = 1 << 19
     for at in range(0, n - SPAN + 1, step):
         part = data[at : min(len(data), at + step + MATCH - 1)]
-        h, power, reach = BYTE_CODES[part], _POWER, 1
-        while reach < 32:
-            if reach == 8:
-                eight, eighth = h, power
-            h = h[:-reach] * U(power) + h[reach:]
-            power, reach = power * power & 0xFFFFFFFFFFFFFFFF, 2 * reach
-        count = len(part) - GRAM + 1  # 40 bytes: 32, then 8
-        grams = mix(h[:count] * U(eighth) + eight[32 : 32 + count])
+        grams = gram_hashes(part)
+        count = len(grams)
         places = np.arange(at, at + count, dtype=U)
         keys = (grams >> U(32) << U(32)) | (U(0xFFFFFFFF) - places)
         reach = 1
@@ -109,45 +119,28 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows, held = [], 0
 
 
-CONTEXT = "block int, h long, windows int, bytes binary, owners binary"
-WINDOW = "window long, doc_id long, th long, start long"
+CONTEXT = "block int, h long, bytes binary, owners binary, ref long"
 
 
 def _contexts(blocks: int, hot: bool):
     """For every anchor that occurs again the bytes of its stretches, to the block of the anchor, with the owners
-    (document, text hash, start: three longs each); or, of hot anchors, a hash per stretch and owner.
+    (document, text hash, start: three longs each); or those of hot anchors, in parts.
 
     Equal contexts that lie together, as in periodic text and copies, go once with all their owners.
     """
-    schema = arrow_schema(WINDOW if hot else CONTEXT)
+    schema = arrow_schema(CONTEXT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners: dict[tuple[int, bytes], list[int]] = {}
-        held = 0
+        held, ref = 0, TaskContext.get().partitionId() << 40
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not hot:
-                rows = [
-                    (h % blocks, h, len(piece) - MATCH + 1, piece, np.array(own, np.int64).tobytes())
-                    for (h, piece), own in owners.items()
-                ]
-                yield _batch(rows, schema)
-                return
-            for (_, piece), own in owners.items():
-                own = np.array(own, np.int64).reshape(-1, 3)
-                data = np.frombuffer(piece, np.uint8)
-                starts = np.arange(len(piece) - MATCH + 1)
-                hashes = span_hashes(data, starts, starts + MATCH).view(np.int64)
-                for at in range(0, len(own), 1 << 12):
-                    part = own[at : at + (1 << 12)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.tile(hashes, len(part))),
-                            *[pa.array(np.repeat(part[:, c], len(starts))) for c in (0, 1)],
-                            pa.array((part[:, 2][:, None] + starts).ravel()),
-                        ],
-                        schema=schema,
-                    )
+            nonlocal ref
+            rows = []
+            for (h, piece), own in owners.items():
+                ref += 1
+                rows.append((h % blocks, h, piece, np.array(own, np.int64).tobytes(), ref))
+            yield _batch(rows, schema)
 
         for batch in batches:
             ids, hashes = batch.column("__id").to_pylist(), batch.column("__th").to_pylist()
@@ -158,13 +151,14 @@ def _contexts(blocks: int, hot: bool):
                 fields = (chosen.field(c).to_pylist() for c in ("h", "first", "last"))
                 for h, first, last in zip(*fields, strict=True):
                     piece = bytes(text[first : last + MATCH])
-                    known = owners.get((h, piece))
-                    if known is None:
-                        owners[h, piece] = [doc_id, th, first]
-                        held += len(piece) + 24
-                    else:
-                        known += (doc_id, th, first)
-                        held += 24
+                    for key, start, part in beside(h, piece) if hot else [(h, 0, piece)]:
+                        known = owners.get((key, part))
+                        if known is None:
+                            owners[key, part] = [doc_id, th, first + start]
+                            held += len(part) + 24
+                        else:
+                            known += (doc_id, th, first + start)
+                            held += 24
                 if held > 1 << 23:
                     yield from flush()
                     owners, held = {}, 0
@@ -174,31 +168,102 @@ def _contexts(blocks: int, hot: bool):
     return run
 
 
+def beside(h: int, piece: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """A hot anchor's context in parts: (key, start of the part in it, its bytes).
+
+    The windows in which the anchor stands at most SPAN / PARTS places apart make a part. All of them share the bytes
+    beside the anchor, 160 in all of MATCH, and those with the anchor make the key. Equal windows have the anchor at the
+    same place, so they meet in one part of one key.
+    """
+    data = np.frombuffer(piece, np.uint8)
+    last = len(piece) - MATCH
+    places = gram_hashes(data).view(np.int64)[: SPAN]
+    at = int(np.flatnonzero(places == h)[-1])  # the rightmost of the first window, so of all
+    step = SPAN // PARTS
+    for k in range(PARTS):
+        low, high = k * step, SPAN - 1 if k == PARTS - 1 else (k + 1) * step - 1
+        first, final = max(0, at - high), min(last, at - low)
+        if first <= final:
+            shared = data[at - low : at - high + MATCH]
+            key = span_hashes(shared, np.array([0]), np.array([len(shared)])) ^ U(k)
+            yield int(mix(key).view(np.int64)[0]), first, piece[first : final + MATCH]
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
     )
 
 
-def suffix_ranks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes at `starts` by their first MATCH bytes: equal stretches have equal ranks.
+# Bytes by which suffixes are told apart, doubling from the first; with LCP from these, up to their sum.
+REACHES = (5, 10, 20, 40, 80, 160)
 
-    Prefix doubling: the order by 5 bytes gives that by 10, and so on to 160; two of those 40 apart make MATCH.
-    All suffixes are ranked until the last step.
-    """
+
+def suffix_ranks(data: np.ndarray) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 5, 10, ... 160 bytes; equal ones have equal ranks. Prefix doubling: the order
+    by 5 bytes gives that by 10, and so on."""
     n = len(data)
     wide = np.concatenate((data, np.zeros(5, np.uint8))).astype(U)
     key = np.zeros(n, U)
     for k in range(5):
         key = (key << U(8)) | wide[k : k + n]
-    rank = _dense(key, 40)
-    reach = 5
-    while reach < 160:
+    ranks = [_dense(key, 40)]
+    for reach in REACHES[:-1]:
         second = np.zeros(n, U)
-        second[: max(0, n - reach)] = rank[reach:]
-        rank = _dense_pair(rank, second)
-        reach *= 2
-    return _dense_pair(rank[starts], rank[starts + (MATCH - reach)])
+        second[: max(0, n - reach)] = ranks[-1][reach:]
+        ranks.append(_dense_pair(ranks[-1], second))
+    return ranks
+
+
+def common_prefix(ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes at a and at b have in common, in steps of the first of REACHES and up to their sum."""
+    n, out = len(ranks[0]), np.zeros(len(a), np.int64)
+    for rank, reach in zip(reversed(ranks), reversed(REACHES), strict=True):
+        inside = np.maximum(a, b) + out < n
+        i, j = np.minimum(a + out, n - 1), np.minimum(b + out, n - 1)
+        out += np.where(inside & (rank[i] == rank[j]), reach, 0)
+    return out
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it with a smaller value; -1 if there is none. A place that does not
+    qualify hands on to the one it points to, so the steps double."""
+    found = np.arange(-1, len(values) - 1)
+    while True:
+        wrong = np.flatnonzero((found >= 0) & (values[found] > values))
+        if not len(wrong):
+            return found
+        found[wrong] = found[found[wrong]]
+
+
+def longest_factors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor of the suffixes at `starts` (ascending), which go up to `ends`: bytes
+    of the longest match that starts earlier, and later.
+
+    In suffix order, the candidates are the nearest entries on either side that stand earlier (later) in the text: the
+    previous and the next smaller (greater) position. Entries that share less than MATCH bytes with both neighbours
+    share no more with any other; they are left out, and get 0.
+    """
+    ranks = suffix_ranks(data)
+    second = np.zeros(len(data), U)
+    second[: max(0, len(data) - REACHES[-1])] = ranks[-1][REACHES[-1] :]
+    order = np.lexsort((starts, second[starts], ranks[-1][starts]))
+    lpf, lnf = np.zeros((2, len(starts)), np.int64)
+    near = common_prefix(ranks, starts[order[:-1]], starts[order[1:]]) >= MATCH
+    some = order[np.concatenate((near, [False])) | np.concatenate(([False], near))]
+    if not len(some):
+        return lpf, lnf
+    for out, sign in ((lpf, 1), (lnf, -1)):
+        position = sign * starts[some]
+        before = previous_smaller(position)
+        after = len(some) - 1 - previous_smaller(position[::-1])[::-1]
+        for other in (before, np.where(after == len(some), -1, after)):
+            there = np.flatnonzero(other >= 0)
+            a, b = some[there], some[other[there]]
+            shared = common_prefix(ranks, starts[a], starts[b])
+            shared = np.minimum(shared, np.minimum(ends[a] - starts[a], ends[b] - starts[b]))
+            out[a] = np.maximum(out[a], shared)
+    return lpf, lnf
 
 
 def _dense(key: np.ndarray, bits: int) -> np.ndarray:
@@ -233,35 +298,30 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def repeated_windows(pieces: list[bytes], keep_first: bool) -> list[tuple[int, np.ndarray]]:
-    """(context, flag of each of its windows) of the contexts with windows to remove.
+def repeated_windows(pieces: list[bytes], weights: list[int]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(context, flag of each of its windows that occurs elsewhere, and of those that occur earlier) of contexts with any.
 
     Contexts come in the order of documents and places, and those of one block hold all occurrences of their
-    windows. In suffix order, with ties by place, the suffixes that agree on MATCH bytes stand together; the
-    previous smaller place of one is then the entry before it, and its longest previous factor reaches MATCH if that
-    entry agrees. Those are later copies. If none is to be kept, the first of them goes as well: its next entry
-    agrees. Contexts with equal bytes are ranked once, and contexts none of whose windows has the same hash as
-    another are left out: they have no factor of MATCH bytes.
+    windows; a weight says how many occurrences a context stands for, of which it is the first. A window of MATCH
+    bytes occurs earlier if its longest previous factor is that long, and elsewhere if its longest next factor is, or its
+    context stands for several. Contexts with equal bytes are sorted once, and contexts none of whose windows has
+    the same hash as another are left out: they have no factor of MATCH bytes.
     """
     first: dict[bytes, int] = {}
     like = [first.setdefault(p, i) for i, p in enumerate(pieces)]
     own = sorted(set(like))  # by first place
-    times = np.bincount(like, minlength=len(pieces))[own]
-    data, starts, owner = _laid_out([pieces[i] for i in own])
+    times = np.bincount(like, weights=weights, minlength=len(pieces))[own]
+    data, starts, owner, _ = _laid_out([pieces[i] for i in own])
     _, group, sizes = np.unique(span_hashes(data, starts, starts + MATCH), return_inverse=True, return_counts=True)
     hopeful = times > 1
     np.logical_or.at(hopeful, owner, sizes[group] > 1)
     own, times = [i for i, ok in zip(own, hopeful.tolist(), strict=True) if ok], times[hopeful]
     if not own:
         return []
-    data, starts, owner = _laid_out([pieces[i] for i in own])
-    rank = suffix_ranks(data, starts).astype(np.int64)
-    n = int(rank.max()) + 1
-    total = np.bincount(rank, weights=times[owner], minlength=n)
-    earliest = np.full(n, len(starts), np.int64)
-    np.minimum.at(earliest, rank, np.arange(len(starts)))
-    found = total[rank] >= 2
-    later = found & (earliest[rank] != np.arange(len(starts)))
+    data, starts, owner, ends = _laid_out([pieces[i] for i in own])
+    lpf, lnf = longest_factors(data, starts, ends)
+    earlier = lpf >= MATCH
+    found = earlier | (lnf >= MATCH) | (times[owner] > 1)
     begin = np.searchsorted(owner, np.arange(len(own) + 1))
     number = {i: k for k, i in enumerate(own)}
     out = []
@@ -270,20 +330,38 @@ def repeated_windows(pieces: list[bytes], keep_first: bool) -> list[tuple[int, n
         if k is None:
             continue
         part = slice(begin[k], begin[k + 1])
-        flags = later[part] if keep_first and origin == i else found[part]
-        if flags.any():
-            out.append((i, flags))
+        if found[part].any():
+            out.append((i, found[part], earlier[part] if origin == i else found[part]))
     return out
 
 
-def _laid_out(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts end to end: their bytes, the starts of their windows, and whose window each is."""
+def _laid_out(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts end to end: their bytes, the starts of their windows, whose window each is, and where that ends."""
     sizes = np.array([len(p) for p in pieces])
     counts = sizes - MATCH + 1
     owner = np.repeat(np.arange(len(pieces)), counts)
     at = np.cumsum(sizes) - sizes
     begin = np.cumsum(counts) - counts
-    return np.frombuffer(b"".join(pieces), np.uint8), np.arange(len(owner)) - begin[owner] + at[owner], owner
+    starts = np.arange(len(owner)) - begin[owner] + at[owner]
+    return np.frombuffer(b"".join(pieces), np.uint8), starts, owner, (at + sizes)[owner]
+
+
+def _in_chunks(h: np.ndarray, sizes: list[int]) -> Iterator[list[int]]:
+    """Rows of a block, in order, in parts of about twice BLOCK_BYTES that keep each anchor's rows together; anchors do
+    not share stretches. Rows alone with their anchor are left out: equal stretches have the same anchor in two places."""
+    heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))).tolist()
+    chunk: list[int] = []
+    held = 0
+    for a, z in zip(heads, [*heads[1:], len(h)], strict=True):
+        if z - a == 1:
+            continue
+        chunk.extend(range(a, z))
+        held += sum(sizes[a:z])
+        if held > 2 * BLOCK_BYTES:
+            yield chunk
+            chunk, held = [], 0
+    if chunk:
+        yield chunk
 
 
 def _block_spans(keep_first: bool):
@@ -300,35 +378,103 @@ def _block_spans(keep_first: bool):
             keys = np.stack([x[order] for x in (h, doc_id, th, start)])
             order = order[np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))]
         h, doc_id, th, start, row = (x[order] for x in (h, doc_id, th, start, row))
-        heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        tails = np.append(heads[1:], len(h))
         rows, lows, highs = [], [], []
-        chunk: list[int] = []
-        held = 0
-
-        def work() -> None:
-            for i, flags in repeated_windows([pieces[r] for r in row[chunk]], keep_first):
-                low, high = _runs(flags)
+        seen: set[int] = set()
+        sizes = [0 if r in seen or seen.add(r) else len(pieces[r]) for r in row.tolist()]
+        for chunk in _in_chunks(h, sizes):
+            for i, found, earlier in repeated_windows([pieces[r] for r in row[chunk]], [1] * len(chunk)):
+                low, high = _runs(earlier if keep_first else found)
                 rows.extend([chunk[i]] * len(low))
                 lows.extend((start[chunk[i]] + low).tolist())
                 highs.extend((start[chunk[i]] + high - 1 + MATCH).tolist())
-
-        for a, z in zip(heads.tolist(), tails.tolist(), strict=True):
-            if z - a == 1:
-                continue  # equal stretches have the same anchor in two places
-            chunk.extend(range(a, z))
-            held += sum(len(pieces[r]) for r in set(row[a:z].tolist()))
-            if held > 2 * BLOCK_BYTES:  # anchors do not share stretches, so a large block goes in parts
-                work()
-                chunk, held = [], 0
-        if chunk:
-            work()
         arrays = [pa.array(doc_id[rows]), pa.array(th[rows]), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())]
         return pa.table(arrays, schema=schema)
 
     return run
 
 
+HOT_RUN = "ref long, first_doc long, first_th long, first_start long, low long, high long, for_first boolean"
+
+
+def _hot_runs(table: pa.Table) -> pa.Table:
+    """Runs of the windows of hot anchors' contexts, each standing for its owners: those that occur elsewhere, for all
+    owners, and those that occur earlier, for the first of all owners of these bytes."""
+    schema = arrow_schema(HOT_RUN)
+    table = table.sort_by([(c, "ascending") for c in ("h", "doc_id", "th", "start")])
+    pieces, weights = table.column("bytes").to_pylist(), table.column("owners").to_pylist()
+    h, ref = table.column("h").to_numpy(), table.column("ref").to_numpy()
+    places = list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "th", "start")), strict=True))
+    rows: list[tuple] = []
+
+    def add(chunk: list[int]) -> None:
+        own, count = [pieces[r] for r in chunk], [weights[r] for r in chunk]
+        first: dict[bytes, int] = {}
+        for r in chunk:
+            first.setdefault(pieces[r], r)
+        for i, found, earlier in repeated_windows(own, count):
+            origin = first[own[i]]
+            # A later row of the same bytes may hold the first owner once more, if its row is repeated.
+            known = earlier if origin == chunk[i] else runs[origin]
+            if origin == chunk[i]:
+                runs[origin] = earlier
+            for flags, for_first in ((found, False), (known, True)):
+                low, high = _runs(flags)
+                rows.extend((int(ref[chunk[i]]), *places[origin], a, z - 1 + MATCH, for_first) for a, z in zip(low.tolist(), high.tolist(), strict=True))
+
+    runs: dict[int, np.ndarray] = {}
+    heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))).tolist()
+    for a, z in zip(heads, [*heads[1:], len(h)], strict=True):
+        if sum(weights[a:z]) > 1:
+            add(list(range(a, z)))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else schema.empty_table()
+
+
+def _handed_out(keep_first: bool):
+    """The runs of a context's windows for each of its owners."""
+    schema = arrow_schema(SPANS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts = np.stack([batch.column(c).to_numpy() for c in ("first_doc", "first_th", "first_start")], axis=1)
+            low, high = (batch.column(c).to_numpy() for c in ("low", "high"))
+            for_first = batch.column("for_first").to_numpy(zero_copy_only=False)
+            parts, held = [], 0
+            for k in range(batch.num_rows):
+                own = np.frombuffer(batch.column("owners")[k].as_buffer(), np.int64).reshape(-1, 3)
+                is_first = (own == firsts[k]).all(axis=1) if keep_first else np.zeros(len(own), bool)
+                own = own[is_first == for_first[k]]
+                parts.append(np.column_stack((own[:, :2], own[:, 2] + low[k], own[:, 2] + high[k])))
+                held += len(own)
+                if held > 1 << 16 or k == batch.num_rows - 1:
+                    columns = np.concatenate(parts).T
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], schema=schema)
+                    parts, held = [], 0
+
+    return run
+
+
+def _hot_spans(with_places: DataFrame, blocks: int, keep_first: bool, scratch: Scratch) -> DataFrame:
+    """Spans in the contexts of hot anchors. Blocks get each context of a batch once, with its first owner and their
+    number, however many there are; the owners wait in a stored table and get the runs by a join on its number."""
+    some = with_places.filter(F.exists("__places", lambda x: x["hot"]))
+    stored = scratch.store(some.mapInArrow(_contexts(blocks, True), CONTEXT))
+
+    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(THIN)
+        for batch in batches:
+            lists = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3) for x in batch.column("owners")]
+            first = np.array([min(map(tuple, own.tolist())) for own in lists], np.int64).reshape(-1, 3)
+            columns = [batch.column(c) for c in ("block", "h", "bytes", "ref")]
+            arrays = [*columns, pa.array([len(own) for own in lists], pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in first.T]]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    runs = stored.mapInArrow(thinned, THIN).groupBy("block").applyInArrow(_hot_runs, HOT_RUN)
+    return runs.join(stored.select("ref", "owners"), "ref").mapInArrow(_handed_out(keep_first), SPANS)
+
+
+THIN = "block int, h long, bytes binary, ref long, owners long, doc_id long, th long, start long"
+
+
 def union_of(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the bytes covered by [start, stop) spans."""
     if not len(starts):
@@ -368,14 +514,7 @@ def repeated_spans(keyed: DataFrame, keep_first: bool, scratch: Scratch, hot: in
     blocks = max(shuffle_partitions(spark), ceil_div(facts["n"] * (MATCH + SPAN // 2), BLOCK_BYTES))
     spans = with_places.mapInArrow(_contexts(blocks, False), CONTEXT).groupBy("block").applyInArrow(_block_spans(keep_first), SPANS)
     if facts["hot"]:
-        some = with_places.filter(F.exists("__places", lambda x: x["hot"]))
-        windows = some.mapInArrow(_contexts(blocks, True), WINDOW)
-        place = F.struct("doc_id", "th", "start")
-        several = windows.groupBy("window").agg(F.count("*").alias("times"), F.min(place).alias("first")).filter("times > 1")
-        over = windows.join(several, "window")
-        if keep_first:
-            over = over.filter(F.struct("doc_id", "th", "start") != F.col("first"))
-        spans = spans.unionByName(over.select("doc_id", "th", "start", (F.col("start") + MATCH).alias("stop")))
+        spans = spans.unionByName(_hot_spans(with_places, blocks, keep_first, scratch))
     return spans.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
         F.collect_list(F.struct("start", "stop")).alias("__spans")
     )

@@ -103,3 +103,54 @@ def test_long_text_goes_in_steps():
         k = np.searchsorted(first, p, side="right") - 1
         own, h, _ = s.anchors(data[p : p + s.MATCH])
         assert own[0] == places[k] - p and h[0] == hashes[k]
+
+
+def test_longest_factors_against_all_pairs():
+    rng = np.random.default_rng(4)
+    for letters in (1, 2, 30):
+        data = rng.integers(97, 97 + letters, 900).astype(np.uint8)
+        data[500:800] = data[100:400]
+        starts = np.sort(rng.choice(700, 300, replace=False))
+        ends = np.minimum(starts + 260, len(data))
+        lpf, lnf = s.longest_factors(data, starts, ends)
+
+        def shared(i, j):
+            a, b = data[starts[i] : ends[i]], data[starts[j] : ends[j]]
+            n = min(len(a), len(b))
+            return int(np.append(a[:n] != b[:n], True).argmax())
+
+        for i in range(len(starts)):
+            for out, others in ((lpf, range(i)), (lnf, range(i + 1, len(starts)))):
+                best = max((shared(i, j) for j in others), default=0)
+                assert (out[i] >= s.MATCH) == (best >= s.MATCH)
+                assert out[i] <= best  # in steps of five bytes
+
+
+def test_previous_smaller():
+    rng = np.random.default_rng(5)
+    for values in (rng.permutation(500), np.arange(50), np.arange(50)[::-1], np.array([], int)):
+        expected = [max((k for k in range(i) if values[k] < values[i]), default=-1) for i in range(len(values))]
+        assert s.previous_smaller(values).tolist() == expected
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_a_hot_anchor_in_many_texts(spark, keep_first):
+    """One line of 100 bytes in all texts, with other text around it or the same, beyond the bound for hot anchors."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("klmnop ", k=n))
+    line = word(100)
+    around = [(word(90), word(90)) for _ in range(6)]
+    data = []
+    for i in range(300):
+        left, right = rng.choice(around) if i % 3 else (word(90), word(90))
+        data.append((i, left[rng.randrange(30) :] + line + right[: rng.randrange(60, 90)] + word(rng.randrange(40))))
+    data += [(900 + i, data[7][1]) for i in range(40)]
+    texts = [t.encode() for _, t in data]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(7)
+    flags = covered(texts, keep_first)
+    if keep_first:
+        out = {r.doc_id: r.text for r in s.without_later_copies(docs, hot=20).collect()}
+        assert out == {d: bytes(np.frombuffer(t, np.uint8)[~f]).decode() for (d, _), t, f in zip(data, texts, flags, strict=True)}
+    else:
+        out = {r.doc_id: r.n_removed for r in s.repeated_passages(docs, hot=20).collect()}
+        assert out == {d: int(f.sum()) for (d, _), f in zip(data, flags, strict=True)}
