@@ -49,6 +49,11 @@ _WORD_PLACES = mix(np.arange(1, SHINGLE + 1, dtype=U) * U(0xA24BAED4963EE407)) |
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """For every text the sorted distinct 64-bit hashes of its shingles; of all its words if they are fewer."""
+    return (own for _, own in shingled(column))
+
+
+def shingled(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """For every text the number of its words, and its set as in `shingle_sets`."""
     for i, j, data, offsets in text_pieces(column):
         data = LOWER[data]
         starts, ends, first = word_spans(data, offsets)
@@ -61,12 +66,12 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             at, upto = first[k], first[k + 1]
             if upto - at >= SHINGLE:
                 own = np.sort(grams[at : upto - SHINGLE + 1])
-                yield own[np.concatenate(([True], own[1:] != own[:-1]))]
+                yield upto - at, own[np.concatenate(([True], own[1:] != own[:-1]))]
             elif upto > at:
                 few = (words[at:upto] * _WORD_PLACES[: upto - at]).sum(keepdims=True) + U(upto - at)
-                yield mix(few)
+                yield upto - at, mix(few)
             else:
-                yield np.empty(0, U)
+                yield 0, np.empty(0, U)
 
 
 def fingerprint(own: np.ndarray) -> int:
@@ -139,7 +144,7 @@ def keys(own: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-PACKED = "bucket int, keys binary, fps binary, ids binary, ths binary"
+PACKED = "bucket int, keys binary, fps binary, ids binary, ths binary, words binary"
 NULL_ID = 1 << 62
 
 
@@ -154,7 +159,7 @@ def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
     """Keys and their sets' classes, packed by bucket: the top of a key tells the bucket, the next 40 bits stay.
     Hot keys are kept whole and dealt at random to the buckets below zero. Each document's size and class go the same
-    way, to the buckets from `buckets` on, so that a text is shingled once for both."""
+    way, to the buckets from `buckets` on, with its number of words, so that a text is shingled once for all."""
     schema = arrow_schema(PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +176,7 @@ def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
                 at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
                 is_hot = hot[at] == key
                 if is_hot.any():
-                    rows.append((-1 - (flushes * 7919 + int(fp[0] & 1023)) % salts, key[is_hot].tobytes(), fp[is_hot].tobytes(), None, None))
+                    rows.append((-1 - (flushes * 7919 + int(fp[0] & 1023)) % salts, key[is_hot].tobytes(), fp[is_hot].tobytes(), None, None, None))
                 key, fp = key[~is_hot], fp[~is_hot]
             part = ((key >> U(32)) * U(buckets)) >> U(32)
             order = np.argsort(part, kind="stable")
@@ -180,16 +185,16 @@ def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
             short = (key & U((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5]
             for k in np.flatnonzero(np.diff(cuts)):
                 a, z = cuts[k], cuts[k + 1]
-                rows.append((int(k), short[a:z].tobytes(), fp[a:z].tobytes(), None, None))
+                rows.append((int(k), short[a:z].tobytes(), fp[a:z].tobytes(), None, None, None))
             names = schema.names
             for i in range(0, len(rows), 4096):
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i : i + 4096]], schema=schema)
 
         for batch in batches:
             ids, ths = batch.column("doc_id"), batch.column("th").to_numpy().tolist()
-            for doc_id, th, own in zip(ids.to_pylist(), ths, shingle_sets(batch.column("text")), strict=True):
+            for doc_id, th, (words, own) in zip(ids.to_pylist(), ths, shingled(batch.column("text")), strict=True):
                 fp = fingerprint(own) if len(own) else 0
-                facts.append((len(own) | (NULL_ID if doc_id is None else 0), fp, doc_id or 0, th))
+                facts.append((len(own) | (NULL_ID if doc_id is None else 0), fp, doc_id or 0, th, words))
                 some = keys(own)
                 if len(some):
                     found.append(some)
@@ -204,7 +209,7 @@ def _packed_keys(buckets: int, hot: np.ndarray, salts: int):
     return run
 
 
-GROUP = "gid long, fp long, n_shingles long, doc_id long, th long"
+GROUP = "gid long, fp long, n_shingles long, doc_id long, th long, n_words long"
 
 
 def _groups(buckets: int):
@@ -214,12 +219,12 @@ def _groups(buckets: int):
         fp = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.int64)
         schema = arrow_schema(GROUP)
         if bucket >= buckets:
-            ids, ths = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("ids", "ths"))
+            ids, ths, words = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("ids", "ths", "words"))
             n = np.frombuffer(raw, np.int64)
-            columns = [pa.nulls(len(n), pa.int64()), fp, n & ~NULL_ID, pa.array(ids, mask=n & NULL_ID != 0), ths]
+            columns = [pa.nulls(len(n), pa.int64()), fp, n & ~NULL_ID, pa.array(ids, mask=n & NULL_ID != 0), ths, words]
             return pa.table([pa.array(c) for c in columns], schema=schema)
         gid, fp = (np.frombuffer(raw, np.int64), fp) if bucket < 0 else _sharing(raw, fp)
-        return pa.table([pa.array(gid), pa.array(fp), *[pa.nulls(len(fp), pa.int64())] * 3], schema=schema)
+        return pa.table([pa.array(gid), pa.array(fp), *[pa.nulls(len(fp), pa.int64())] * 4], schema=schema)
 
     return run
 
@@ -503,8 +508,8 @@ def near_duplicates(
     links: bool = False,
 ) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, the smallest id that links reach; then `th`, the text's
-    xxhash64, `component`, a number for the component, and `class`, one for its set (null for texts without words); and
-    with `links` also n_links, the other rows that link with it directly.
+    xxhash64, `n_words`, `component`, a number for the component, and `class`, one for its set (null for texts without
+    words); and with `links` also n_links, the other rows that link with it directly.
 
     Two documents link when 100 * shared shingles >= 80 * all shingles of both. Texts without words (null too) have
     no shingles and link with nothing: their component is their own id. Equal sets are one class, so copies
@@ -528,20 +533,20 @@ def near_duplicates(
     scratch = scratch or Scratch(spark, "jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("th", F.xxhash64("text"))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-
     # One text in SAMPLE_OF, chosen in the JVM; copies of a text are in or out together.
     some = texts.filter(F.pmod(F.xxhash64("th", F.lit(5)), F.lit(SAMPLE_OF)) == 0).select("text")
     sampled = some.mapInArrow(_sampled_keys, "key long, fp long").distinct()
-    often = sampled.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= sample_of_hot)
+    counts = scratch.store(sampled.groupBy("key").agg(F.count("*").alias("n")))
+    size = SAMPLE_OF * (counts.agg(F.sum("n")).first()[0] or 0)  # keys of all texts, about
+    often = counts.filter(F.col("n") >= sample_of_hot)
     hot_rows = often.orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key").collect()
     hot = np.sort(np.array([r["key"] for r in hot_rows], np.int64).view(U))
 
     partitions = shuffle_partitions(spark)
-    buckets = max(partitions, ceil_div(size // 16, BUCKET_KEYS))  # a key for every 16 bytes, about
+    buckets = max(partitions, ceil_div(size, BUCKET_KEYS))
     packed = texts.mapInArrow(_packed_keys(buckets, hot, partitions), PACKED)
     made = scratch.store(packed.groupBy("bucket").applyInArrow(_groups(buckets), GROUP))
-    profile = made.filter("n_shingles IS NOT NULL").select("doc_id", "th", "n_shingles", "fp")
+    profile = made.filter("n_shingles IS NOT NULL").select("doc_id", "th", "n_shingles", "n_words", "fp")
     groups = scratch.store(made.filter("n_shingles IS NULL").select("gid", "fp").distinct())
 
     # Each class's set is fetched from one of its texts.
@@ -598,7 +603,7 @@ def near_duplicates(
     of_class = sizes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     of_component = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     answer = of_class.join(of_component, "component").select("fp", "component_id", "component", (F.col("times") - 1).alias("n_links"))
-    names = ["doc_id", "n_shingles", "component_id", "th", "component", F.col("fp").alias("class")]
+    names = ["doc_id", "n_shingles", "component_id", "th", "n_words", "component", F.col("fp").alias("class")]
     if links:
         counted = scratch.store(_links_of(parts, sizes.select("fp", "times"), sets, partitions))
         answer = answer.join(counted, "fp", "left").withColumn("n_links", F.col("n_links") + F.coalesce("linked", F.lit(0)))
@@ -606,7 +611,7 @@ def near_duplicates(
     found = profile.filter("n_shingles > 0").join(answer, "fp").select(*names)
     nothing = F.lit(None).cast("long")
     none = profile.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "th", nothing.alias("component"), nothing.alias("class"),
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "th", "n_words", nothing.alias("component"), nothing.alias("class"),
         *([F.lit(0).cast("long").alias("n_links")] if links else []),
     )
     return found.union(none)

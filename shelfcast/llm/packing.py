@@ -136,11 +136,14 @@ def _pack_shard(capacity: int, per_source: int):
 
 
 def _near_copies(sized: DataFrame, groups: DataFrame) -> DataFrame:
-    """`sized` with the components of `groups` (th, component) as clusters in place of the texts' hashes."""
-    named = groups.filter("component IS NOT NULL").groupBy(F.col("th").alias("cluster")).agg(F.min("component").alias("component"))
+    """`sized` with the components of `groups` (th, component, n_words) as clusters in place of the texts' hashes, and
+    their words; texts without words are in none."""
+    named = groups.filter("component IS NOT NULL").groupBy(F.col("th").alias("cluster"))
+    named = named.agg(F.min("component").alias("component"), F.min("n_words").alias("n_words"))
     named = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = sized.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
     joined = dealt.join(named, ["cluster", "salt"], "left").withColumn("cluster", F.coalesce("component", "cluster"))
+    joined = joined.withColumn("words", F.coalesce("n_words", F.lit(0).cast("long")))
     return joined.select(*sized.columns)
 
 
@@ -177,7 +180,7 @@ def best_fit_packing(
     sized = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        word_count(text_col).alias("words"),
+        (word_count(text_col) if groups is None else F.lit(0).cast("long")).alias("words"),  # else told by the groups
         F.xxhash64(cluster).alias("cluster"),
         F.monotonically_increasing_id().alias("uid"),
     )
