@@ -54,9 +54,10 @@ def continuous_grid(
     spec: DemandSpec,
     partitions: int | None = None,
     catalogue: DataFrame | None = None,
+    stores: DataFrame | None = None,
 ) -> DataFrame:
     """One row per series and calendar day: date, store_nbr, family, id, sales, onpromotion,
-    is_test, is_closed.
+    is_test, is_closed, and with `stores` their attributes.
 
     A left join of the exploded grid would shuffle the grid, which can be far larger than the
     sales. Here only sales cells travel: each series gets a seed row on the first day, and
@@ -66,6 +67,10 @@ def continuous_grid(
     `catalogue` (store_nbr, family, unique) names the series, such as a stored one, or the
     observed pairs alone; without it, it is every store of `train` with every family.
 
+    Attributes of `stores` (store_nbr, unique, others) ride on the seeds: they are joined to the catalogue, one
+    row per series, and carried along as the days are filled in, so the dense rows are never joined by store,
+    however many stores there are. A store that is not listed has none.
+
     Sales are first summed to one row per cell with map-side combine, so a hot cell or series
     shrinks to at most one row per calendar day before it reaches a single task. The result
     stays hash-partitioned by series, which the feature windows use without another shuffle.
@@ -73,7 +78,11 @@ def continuous_grid(
     start, end = F.lit(spec.calendar_start), F.lit(spec.calendar_end)
     sales = union_sales(train, test).filter(F.col("date").between(start, end))
     catalogue = series_catalogue(train) if catalogue is None else catalogue
-    seeds = catalogue.select(*SERIES, start.alias("date"), F.lit(1).alias("seed"))
+    attributes = [c for c in stores.columns if c not in SERIES] if stores is not None else []
+    if attributes:
+        catalogue = catalogue.join(stores.select("store_nbr", F.struct(*attributes).alias("about")), "store_nbr", "left")
+    about = [F.col("about")] if attributes else []
+    seeds = catalogue.select(*SERIES, start.alias("date"), F.lit(1).alias("seed"), *about)
     cells = (
         sales.select(*CELL, "id", "sales", "onpromotion")
         .unionByName(seeds, allowMissingColumns=True)
@@ -83,6 +92,7 @@ def continuous_grid(
             F.sum("sales").alias("sales"),
             F.sum("onpromotion").alias("onpromotion"),
             F.max("seed").alias("seed"),
+            *[F.max(c).alias("about") for c in about],
         )
     )
     if partitions is None:
@@ -96,6 +106,7 @@ def continuous_grid(
             {
                 "known": F.first("seed").over(by_day),
                 "until": F.coalesce(F.lead("date").over(by_day), day_after),
+                **({"about": F.first("about").over(by_day)} if attributes else {}),
             }
         )
         .filter("known = 1")
@@ -112,4 +123,5 @@ def continuous_grid(
         F.when(closed | ~seen, F.lit(0)).otherwise(F.coalesce("onpromotion", F.lit(0))).alias("onpromotion"),
         (F.col("day") >= F.lit(spec.test_start)).alias("is_test"),
         closed.cast("int").alias("is_closed"),
+        *[F.col("about")[c].alias(c) for c in attributes],
     )

@@ -48,13 +48,9 @@ def planned_promotions(forecasts: DataFrame) -> DataFrame:
 
 
 def store_cards(df: DataFrame) -> DataFrame:
-    """One row of attributes per store.
-
-    `distinct` hashes and shrinks the rows first; dropping duplicates of a key alone would sort
-    them all.
-    """
-    cards = df.select("store_nbr", "city", "state", "type", "cluster").distinct()
-    return cards.dropDuplicates(["store_nbr"])
+    """One row of attributes per store: if they differ between rows, the first of them in order."""
+    columns = ["city", "state", "type", "cluster"]
+    return df.groupBy("store_nbr").agg(F.min(F.struct(*columns)).alias("card")).select("store_nbr", "card.*")
 
 
 def last_history(grid: DataFrame, spec: DemandSpec, n: int = HISTORY_DAYS) -> DataFrame:
@@ -102,6 +98,32 @@ def promo_plan(forecasts: DataFrame, boosts: tuple[int, ...] = PROMO_BOOSTS) ->
     )
 
 
+def asked_days(requests: DataFrame, default_days: tuple[date, date]) -> DataFrame:
+    """The days that requests (store_nbr, family, start_date, end_date) ask for, as few spans as they make per series:
+    store_nbr, family, first_day, last_day. Spans that overlap or follow each other are one; spans that end before
+    they start ask for nothing.
+
+    Requests shrink to one per series and first day before the shuffle, so a series in great demand holds at most
+    a row per day.
+    """
+    start, end = (F.coalesce(c, F.lit(d)) for c, d in zip(("start_date", "end_date"), default_days))
+    spans = requests.select(*SERIES, start.alias("first_day"), end.alias("last_day")).filter("first_day <= last_day")
+    spans = spans.groupBy(*SERIES, "first_day").agg(F.max("last_day").alias("last_day"))
+    by_day = Window.partitionBy(*SERIES).orderBy("first_day")
+    reached = F.max("last_day").over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("first_day") > F.date_add("reached", 1), F.lit(True))
+    islands = spans.withColumn("reached", reached).withColumn("island", F.sum(opens.cast("int")).over(by_day))
+    return islands.groupBy(*SERIES, "island").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")).drop("island")
+
+
+def only_asked(df: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows of a dense table on the days of `spans`, as `asked_days` gives them. A short list of spans is broadcast, and
+    the dense rows stay where they are."""
+    side = broadcast_dimension(spans.select(*[F.col(c).alias(f"_{c}") for c in spans.columns]))
+    same = [F.col(c) == F.col(f"_{c}") for c in SERIES]
+    return df.join(side, [*same, F.col("date").between(F.col("_first_day"), F.col("_last_day"))], "left_semi")
+
+
 def checked_requests(
     requests: DataFrame,
     forecasts: DataFrame,

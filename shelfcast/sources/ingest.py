@@ -50,9 +50,9 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV report, or an empty table if it was never written."""
+    """A CSV report, or an empty table if it was never written. An empty field is NULL."""
     try:
-        return spark.read.schema(schema).option("header", True).csv(path)
+        return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -74,6 +74,16 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
            WHERE isodow(date) <= 5""",
         (),
     ),
+    "regional_oil": (
+        """SELECT state, date, CASE WHEN NOT (month(date) = 1 AND day(date) <= 10) THEN price END AS dcoilwtico
+           FROM (SELECT r_name AS state, o_orderdate::DATE AS date,
+                        sum(round(o_totalprice * 100)::BIGINT)::DOUBLE / (count(*) * 100000) AS price
+                 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+                      JOIN region ON n_regionkey = r_regionkey
+                 GROUP BY ALL)
+           WHERE isodow(date) <= 5""",
+        (),
+    ),
     "holidays": (
         f"""SELECT make_date(year, month, day) AS date, type, locale, locale_name, description,
                    moved AND year % 2 = 0 AS transferred
@@ -124,6 +134,27 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                  FROM oil_sides)""",
         ("oil_sides",),
     ),
+    "regional_sides": (
+        f"""SELECT state, date, dcoilwtico AS v,
+                   last_value(dcoilwtico IGNORE NULLS) OVER back AS v0,
+                   last_value(CASE WHEN dcoilwtico IS NOT NULL THEN date END IGNORE NULLS) OVER back AS d0,
+                   first_value(dcoilwtico IGNORE NULLS) OVER ahead AS v1,
+                   first_value(CASE WHEN dcoilwtico IS NOT NULL THEN date END IGNORE NULLS) OVER ahead AS d1
+            FROM (SELECT state, unnest(generate_series(first, {END}, INTERVAL 1 DAY))::DATE AS date
+                  FROM (SELECT state, min(date) AS first FROM regional_oil GROUP BY state))
+                 LEFT JOIN regional_oil USING (state, date)
+            WINDOW back AS (PARTITION BY state ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                   ahead AS (PARTITION BY state ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
+        ("regional_oil",),
+    ),
+    "regional_daily": (
+        """SELECT *, avg(dcoilwtico) OVER (PARTITION BY state ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS oil_ma7,
+                  avg(dcoilwtico) OVER (PARTITION BY state ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS oil_ma30
+           FROM (SELECT state, date, CASE WHEN v IS NOT NULL THEN v WHEN v0 IS NULL THEN v1 WHEN v1 IS NULL THEN v0
+                        ELSE v0 + (v1 - v0) * (date_diff('day', d0, date) / date_diff('day', d0, d1)) END AS dcoilwtico
+                 FROM regional_sides)""",
+        ("regional_sides",),
+    ),
     "kept": ("SELECT * FROM holidays WHERE NOT transferred", ("holidays",)),
     "gold": (
         f"""SELECT g.*, city, state, type, cluster, dcoilwtico, oil_ma7, oil_ma30,
@@ -646,6 +677,47 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+_RECENT = f"date BETWEEN {TEST} - 60 AND {END}"
+ORACLES["raw_round_trip"] = ORACLES["typed_sales"]
+ORACLES["layer_round_trip"] = with_ctes(
+    f"""SELECT family, count(*) AS n_rows, {rounded('sum(sales)')} AS sales, sum(onpromotion)::BIGINT AS onpromotion,
+               0::BIGINT AS n_late
+        FROM grid WHERE {_RECENT} GROUP BY family""",
+    "grid",
+)
+ORACLES["report_round_trip"] = with_ctes(
+    f"""SELECT family, CASE n_rows % 4 WHEN 0 THEN 'said "' || family || '", then' || chr(10) || 'left, '
+                                      WHEN 2 THEN ' a ' || chr(92) || ' b ' END AS note,
+               n_rows, {rounded('sales')} AS sales
+        FROM (SELECT family, count(*) AS n_rows, sum(sales) AS sales FROM train GROUP BY family)""",
+    "train",
+)
+ORACLES["oil_by_region"] = with_ctes(
+    digest(
+        "(SELECT * FROM grid LEFT JOIN stores USING (store_nbr) LEFT JOIN regional_daily USING (state, date))",
+        ["store_nbr", "state"],
+        ["dcoilwtico", "oil_ma7", "oil_ma30"],
+        digits=(4, 2, 2),
+    ),
+    "grid", "stores", "regional_daily",
+)
+# A day is asked for if some request spans it; a span starts on each such day whose day before is not.
+ORACLES["asked_days"] = with_ctes(
+    f"""SELECT store_nbr, family, count(*) FILTER (WHERE before IS NULL OR before < day - 1) AS n_spans,
+               min(day) AS first_day, count(*) AS n_days,
+               count(*) FILTER (WHERE day BETWEEN {TEST} - 60 AND {END}
+                                      AND store_nbr IN (SELECT store_nbr FROM train) AND family IN (SELECT family FROM train)) AS n_rows
+        FROM (SELECT *, lag(day) OVER (PARTITION BY store_nbr, family ORDER BY day) AS before
+              FROM (SELECT DISTINCT store_nbr, family, unnest(generate_series(start_date, end_date, INTERVAL 1 DAY))::DATE AS day
+                    FROM (SELECT store_nbr, family, start_date,
+                                 CASE WHEN k % 17 > 0 THEN start_date + (k % 4 - 1)::INTEGER ELSE {END} END AS end_date
+                          FROM (SELECT c_custkey AS k, c_custkey % 12 AS store_nbr,
+                                       CASE WHEN c_custkey % 5 < 4 THEN 'PROMO' ELSE 'SMALL' END AS family,
+                                       {TEST} - (c_custkey * 13 % 60)::INTEGER AS start_date FROM customer))))
+        GROUP BY ALL""",
+    "train",
+)
+
 # What must hold of fitted models on any data, as far as SQL can say it.
 ORACLES["gbt_scores"] = with_ctes(
     """SELECT model, n AS n_scored, n AS n_not_negative, TRUE AS no_worse_than_naive

@@ -28,12 +28,14 @@ from shelfcast.operators.events import effective_holidays, with_holiday_flags
 from shelfcast.operators.exogenous import oil_daily
 from shelfcast.operators.gold import gold_master, with_shock_flag
 from shelfcast.operators.grid import continuous_grid, series_catalogue, union_sales
-from shelfcast.operators.lineage import settled
+from shelfcast.operators.lineage import scratch_folder, settled
 from shelfcast.operators.split import split_report, temporal_split
 from shelfcast.plans import profile, reports
 from shelfcast.plans.features import build_features, fill_warm_up
 from shelfcast.plans.jobs import MODELS, Ensemble, fit_models
-from shelfcast.sources.ingest import typed
+from shelfcast.sources.ingest import read_layer, read_raw, read_report, typed
+from shelfcast.sources.schemas import RAW
+from shelfcast.sources.sinks import write_report, write_series_layer
 from shelfcast.spec import SERIES, feature_columns
 from shelfcast.workload.tables import SPEC, RetailTables, read
 
@@ -85,8 +87,8 @@ def recent_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = RetailTables(spark, sf_dir)
-    grid = continuous_grid(t.train, t.test, SPEC)
-    return gold_master(grid, t.stores, oil_daily(t.oil, SPEC), effective_holidays(t.holidays), SPEC)
+    grid = continuous_grid(t.train, t.test, SPEC, stores=t.stores)
+    return gold_master(grid, oil_daily(t.oil, SPEC), effective_holidays(t.holidays), SPEC)
 
 
 def baseline_features(grid: DataFrame) -> DataFrame:
@@ -105,12 +107,13 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_baselines(baseline_features(grid).filter(in_val))
 
 
-def horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def horizon(spark: SparkSession, sf_dir: str, catalogue: DataFrame | None = None) -> DataFrame:
     """A forecast for every series and test day: the moving-average baseline."""
     t = RetailTables(spark, sf_dir)
+    catalogue = t.catalogue if catalogue is None else catalogue
     first_day = SPEC.test_start - timedelta(days=LOOKBACK_DAYS)
     recent = t.train.filter(F.col("date") >= F.lit(first_day))
-    grid = continuous_grid(recent, t.test, SPEC.since(first_day), catalogue=t.catalogue)
+    grid = continuous_grid(recent, t.test, SPEC.since(first_day), catalogue=catalogue)
     ahead = baseline_features(grid).filter("is_test")
     return ahead.select(
         "id", *SERIES, "date", "onpromotion", from_log(F.col("sales_roll_mean_7")).alias("sales_pred")
@@ -172,6 +175,50 @@ def grid_gap_profile(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------------ files written and read
+
+
+@query
+def raw_round_trip(spark, sf_dir):
+    """Sales written as raw CSV files, then read strictly and typed."""
+    train = RetailTables(spark, sf_dir).train
+    folder = scratch_folder(spark, "raw")
+    names = [part.split()[0] for part in RAW["train"].split(", ")]
+    blank = F.when(F.col("onpromotion") > 0, F.col("onpromotion")).cast("double")
+    raw = train.withColumn("onpromotion", blank).select(*names)
+    raw.write.option("header", True).csv(f"{folder}/train.csv")
+    rows = typed(read_raw(spark, folder, "train")).withColumn("id", F.col("id") % 10007)
+    return digest(rows, ("family",), ["id", "store_nbr", "sales", "onpromotion"])
+
+
+@query
+def layer_round_trip(spark, sf_dir):
+    """The recent grid written as a layer in series order and read back: its rows, and how many of a file come before
+    the row that they follow."""
+    folder = scratch_folder(spark, "layer")
+    write_series_layer(recent_grid(spark, sf_dir), folder)
+    key = F.struct(*SERIES, "date")
+    in_file = Window.partitionBy("_metadata.file_path").orderBy("_metadata.row_index")
+    rows = read_layer(spark, folder).select("*", F.coalesce(key < F.lag(key).over(in_file), F.lit(False)).alias("late"))
+    return rows.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n_rows"), rounded(F.sum("sales")).alias("sales"), F.sum("onpromotion").alias("onpromotion"), F.count_if("late").alias("n_late")
+    )
+
+
+@query
+def report_round_trip(spark, sf_dir):
+    """A report with quotes, commas, line ends, blanks and nulls in its fields, written as CSV and read back (an empty
+    text is NULL then), and one that was never written."""
+    folder = scratch_folder(spark, "report")
+    schema = "family string, note string, n_rows long, sales double"
+    table = RetailTables(spark, sf_dir).train.groupBy("family").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("sales").alias("sales"))
+    kind = F.col("n_rows") % 4
+    note = F.when(kind == 0, F.concat(F.lit('said "'), "family", F.lit('", then\nleft, '))).when(kind == 1, "").when(kind == 2, " a \\ b ")
+    write_report(table.withColumn("note", note).select("family", "note", "n_rows", "sales"), folder)
+    rows = read_report(spark, folder, schema).unionByName(read_report(spark, f"{folder}-absent", schema))
+    return rows.withColumn("sales", rounded(F.col("sales")))
+
+
 # ---------------------------------------------------------------------- exogenous and events
 
 
@@ -182,6 +229,16 @@ def oil_interpolated(spark, sf_dir):
     return oil.select("date", *[F.col(c).cast("float").cast("double").alias(c) for c in oil.columns[1:]])
 
 
+@query
+def oil_by_region(spark, sf_dir):
+    """A price series per region, filled and averaged over one calendar, on the grid rows of the region's stores."""
+    t = RetailTables(spark, sf_dir)
+    oil = oil_daily(t.regional_oil, SPEC, keys=("state",))
+    prices = [c for c in oil.columns if c not in ("state", "date")]
+    rows = gold_master(continuous_grid(t.train, t.test, SPEC, stores=t.stores), oil, effective_holidays(t.holidays), SPEC)
+    return digest(rows, ("store_nbr", "state"), prices, digits=(4, 2, 2))
+
+
 @query
 def holiday_calendar(spark, sf_dir):
     """Effective holidays with the sales of their day."""
@@ -193,9 +250,8 @@ def holiday_calendar(spark, sf_dir):
 def holiday_flags(spark, sf_dir):
     """Grid rows and sales under each kind of holiday, by city."""
     t = RetailTables(spark, sf_dir)
-    rows = with_holiday_flags(
-        full_grid(spark, sf_dir).join(t.stores, "store_nbr"), effective_holidays(t.holidays), SPEC
-    )
+    grid = continuous_grid(t.train, t.test, SPEC, stores=t.stores)
+    rows = with_holiday_flags(grid, effective_holidays(t.holidays), SPEC)
     flags = ["is_holiday_national", "is_holiday_regional", "is_holiday_local", "is_holiday_any"]
     return rows.groupBy("city", *flags).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("sales").alias("sales"))
 
@@ -552,15 +608,41 @@ def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checked(spark, sf_dir) -> DataFrame:
+    catalogue = settled(RetailTables(spark, sf_dir).catalogue)
     return reports.checked_requests(
         forecast_requests(spark, sf_dir),
-        horizon(spark, sf_dir),
-        RetailTables(spark, sf_dir).train,
+        horizon(spark, sf_dir, catalogue),
+        catalogue,
         store_range=(0, 109),
         default_days=(SPEC.test_start, SPEC.calendar_end),
     )
 
 
+def short_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per customer for a few recent days of one of few series, so that their days overlap, meet or leave
+    gaps; some end before they start, some leave an end open."""
+    key = F.col("c_custkey")
+    start = F.date_sub(F.lit(SPEC.test_start), (key * 13 % 60).cast("int"))
+    return read(spark, sf_dir, "customer").select(
+        key.alias("request_id"),
+        (key % 12).alias("store_nbr"),
+        F.when(key % 5 < 4, "PROMO").otherwise("SMALL").alias("family"),
+        start.alias("start_date"),
+        F.when(key % 17 > 0, F.date_add(start, (key % 4 - 1).cast("int"))).alias("end_date"),
+    )
+
+
+@query
+def asked_days(spark, sf_dir):
+    """The days that requests ask for, and the grid rows on them."""
+    spans = reports.asked_days(short_requests(spark, sf_dir), (SPEC.test_start, SPEC.calendar_end))
+    rows = reports.only_asked(recent_grid(spark, sf_dir), spans).groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = spans.groupBy(*SERIES).agg(
+        F.count(F.lit(1)).alias("n_spans"), F.min("first_day").alias("first_day"), F.sum(F.datediff("last_day", "first_day") + 1).alias("n_days")
+    )
+    return listed.join(rows, list(SERIES), "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
 @query
 def forecast_slice(spark, sf_dir):
     return reports.forecast_slice(_checked(spark, sf_dir))

@@ -46,7 +46,7 @@ SCHEMAS = {
         "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_discount double,"
         " l_shipdate timestamp_ntz"
     ),
-    "orders": "o_totalprice double, o_orderdate timestamp_ntz",
+    "orders": "o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
     "part": "p_partkey long, p_type string",
     "supplier": "s_suppkey long, s_nationkey int",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -115,6 +115,19 @@ def oil_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def regional_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by region of the customer: one price series per state."""
+    c, n, r = (read(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    places = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    orders = read(spark, sf_dir, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
+    cents = F.rint(F.col("o_totalprice") * 100).cast("long")
+    daily = orders.groupBy(F.col("r_name").alias("state"), F.to_date("o_orderdate").alias("date")).agg(
+        (F.sum(cents) / (F.count(cents) * 100_000)).alias("price")
+    )
+    new_year = (F.month("date") == 1) & (F.dayofmonth("date") <= 10)
+    return daily.filter(F.weekday("date") < 5).select("state", "date", F.when(~new_year, F.col("price")).alias("dcoilwtico"))
+
+
 def holiday_events(spark: SparkSession, spec: DemandSpec = SPEC) -> DataFrame:
     rows = F.array(
         *[
@@ -187,6 +200,10 @@ class RetailTables:
     def oil(self) -> DataFrame:
         return oil_prices(self.spark, self.sf_dir)
 
+    @cached_property
+    def regional_oil(self) -> DataFrame:
+        return regional_prices(self.spark, self.sf_dir)
+
     @cached_property
     def holidays(self) -> DataFrame:
         return holiday_events(self.spark, self.spec)

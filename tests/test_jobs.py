@@ -21,12 +21,14 @@ from shelfcast.plans.jobs import (
     answer_requests,
     feature_table,
     load_ensemble,
+    read_features,
     run_data_job,
     run_feature_job,
     run_training_job,
 )
 from shelfcast.plans.reports import forecast_slice, rejected_requests
 from shelfcast.sources.ingest import read_layer, read_raw, read_report, typed
+from shelfcast.sources.publish import current, prune
 from shelfcast.sources.schemas import BENCHMARK, RAW, SUBMISSION
 from shelfcast.sources.sinks import write_series_table
 from shelfcast.spec import DemandSpec, feature_columns
@@ -66,9 +68,9 @@ def out(spark, sf_dir, tmp_path_factory):
 
 
 def test_layers(spark, out):
-    grid = read_layer(spark, f"{out}/silver/grid")
-    master = read_layer(spark, f"{out}/gold/master")
-    features = read_layer(spark, f"{out}/features")
+    grid = read_layer(spark, f"{current(spark, out)}/silver/grid")
+    master = read_layer(spark, f"{current(spark, out)}/gold/master")
+    features = read_features(spark, f"{out}/features")
     assert (len(grid.columns), len(master.columns), len(features.columns)) == (8, 20, 54)
     assert len(feature_columns(features.columns)) == 49
     assert grid.count() == master.count() == 10 * 6 * SHORT.n_days
@@ -80,10 +82,10 @@ def test_layers(spark, out):
 
 
 def test_benchmark_and_submission(spark, sf_dir, out):
-    board = read_report(spark, f"{out}/out/benchmark", BENCHMARK).collect()
+    board = read_report(spark, f"{current(spark, out + '/out')}/benchmark", BENCHMARK).collect()
     assert len(board) == 6 and [r["rmsle"] for r in board] == sorted(r["rmsle"] for r in board)
     assert "trees" in board[0]["model"] or "Blend" in board[0]["model"]
-    sent = read_report(spark, f"{out}/out/submission", SUBMISSION)
+    sent = read_report(spark, f"{current(spark, out + '/out')}/submission", SUBMISSION)
     asked = RetailTables(spark, sf_dir, SHORT).test.filter(F.col("date") <= F.lit(SHORT.calendar_end))
     assert sent.count() == asked.count()
     assert sent.filter("sales < 0 OR sales IS NULL").count() == 0
@@ -91,12 +93,12 @@ def test_benchmark_and_submission(spark, sf_dir, out):
 
 def test_models_load_and_score_subsets_alike(spark, out):
     models = load_ensemble(spark, f"{out}/out").models
-    features = read_layer(spark, f"{out}/features").filter("is_test")
+    features = read_features(spark, f"{out}/features").filter("is_test")
     whole = with_prediction(models["pred_leaf_wise"], features, "p").filter("family = 'PROMO'")
     part = with_prediction(models["pred_leaf_wise"], features.filter("family = 'PROMO'"), "p")
     assert whole.count() == part.count() == 160
     assert whole.exceptAll(part).count() == 0
-    sent = read_report(spark, f"{out}/out/submission", SUBMISSION)
+    sent = read_report(spark, f"{current(spark, out + '/out')}/submission", SUBMISSION)
     both = features.filter("id IS NOT NULL")
     for name, model in models.items():
         both = with_prediction(model, both, name)
@@ -108,13 +110,13 @@ def test_models_load_and_score_subsets_alike(spark, out):
 
 def test_unseen_names_are_scored(spark, out):
     model = load_ensemble(spark, f"{out}/out").models["pred_depth_wise"]
-    features = read_layer(spark, f"{out}/features").filter("is_test").withColumn("family", F.lit("NEW"))
+    features = read_features(spark, f"{out}/features").filter("is_test").withColumn("family", F.lit("NEW"))
     assert with_prediction(model, features, "p").filter("p IS NULL").count() == 0
 
 
 def test_importance(spark, out):
     model = load_ensemble(spark, f"{out}/out").models["pred_leaf_wise"]
-    features = read_layer(spark, f"{out}/features")
+    features = read_features(spark, f"{out}/features")
     rows = feature_importance(model, features, 49).collect()
     gains = [r["importance_gain"] for r in rows]
     assert gains == sorted(gains, reverse=True) and sum(gains) == pytest.approx(1.0)
@@ -125,7 +127,7 @@ def test_importance(spark, out):
 
 def test_one_encoding_at_every_size(spark, out):
     """100, 215 or 1,000 stores: the same stages, and a stable value of its own for every store."""
-    features = read_layer(spark, f"{out}/features").filter("log_sales IS NOT NULL").limit(40)
+    features = read_features(spark, f"{out}/features").filter("log_sales IS NOT NULL").limit(40)
     params = replace(LEAF_WISE, rounds=1, depth=2, patience=1)
     stages = set()
     for n in (100, 215, 1000):
@@ -151,25 +153,13 @@ def test_stores_outside_the_learning_rows_keep_their_codes(spark, sf_dir, monkey
     assert len(codes) == stores.count() == len({r["e_store_nbr"] for r in codes})
 
 
-def test_early_stop_equals_a_full_fit(spark, out):
-    features = read_layer(spark, f"{out}/features").filter("log_sales IS NOT NULL")
-    train, val = features.filter("date < '2001-01-01'"), features.filter("date >= '2001-01-01'")
-    params = replace(LEAF_WISE, rounds=12, depth=2, learning_rate=0.9, patience=2, min_rows_per_leaf=5)
-    early = fit_forecaster(train, val, params)
-    whole = fit_forecaster(train, val, replace(params, patience=12))  # all rounds at once
-    n = early.stages[-1].getNumTrees
-    assert 0 < n <= 12 and early.stages[-1].treeWeights == whole.stages[-1].treeWeights[:n]
-    for a, b in zip(early.stages[-1].trees, whole.stages[-1].trees):
-        assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
-
-
 def test_ensemble_weights_are_stored(spark, out, run_dir):
     first = load_ensemble(spark, f"{out}/out")
     assert first.weights == (0.5, 0.5)
     Ensemble(first.models, (0.3, 0.7)).save(run_dir)
     again = load_ensemble(spark, run_dir)
     assert again.weights == (0.3, 0.7) and list(again.models) == list(first.models)
-    rows = again.score(read_layer(spark, f"{out}/features").filter("is_test").limit(50))
+    rows = again.score(read_features(spark, f"{out}/features").filter("is_test").limit(50))
     gap = F.max(F.abs(F.col("pred_leaf_wise") * 0.3 + F.col("pred_depth_wise") * 0.7 - F.col("pred_blend")))
     assert rows.agg(gap).first()[0] < 1e-9
 
@@ -183,7 +173,7 @@ def test_requests_for_past_days_are_scored(spark, out):
         (5, 4, "SMALL", date(1990, 1, 1), date(1990, 1, 2)),
     ]
     requests = spark.createDataFrame(asked, "request_id long, store_nbr long, family string, start_date date, end_date date")
-    features = read_layer(spark, f"{out}/features")
+    features = read_features(spark, f"{out}/features")
     ensemble = load_ensemble(spark, f"{out}/out")
     checked = answer_requests(ensemble, features, requests, (1, 100), (SHORT.test_start, SHORT.calendar_end))
     rows = forecast_slice(checked).orderBy("request_id", "date").collect()
@@ -237,7 +227,7 @@ def test_no_row_is_lost_between_raw_and_bronze(spark, out):
     for name in ("train", "test", "stores", "oil", "holidays_events", "transactions"):
         lines = spark.read.text(f"{out}/raw/{name}.csv").filter("value <> ''").count()
         files = spark.read.text(f"{out}/raw/{name}.csv").select(F.input_file_name()).distinct().count()
-        assert read_layer(spark, f"{out}/bronze/{name}").count() == lines - files
+        assert read_layer(spark, f"{current(spark, out)}/bronze/{name}").count() == lines - files
 
 
 def test_typed_cleans(spark, run_dir):
@@ -252,7 +242,7 @@ def test_typed_cleans(spark, run_dir):
 def test_bucketed_table_needs_no_shuffle(spark, out):
     from pyspark.sql import Window
 
-    grid = read_layer(spark, f"{out}/silver/grid")
+    grid = read_layer(spark, f"{current(spark, out)}/silver/grid")
     write_series_table(grid, "grid_by_series", 4)
     try:
         w = Window.partitionBy("store_nbr", "family").orderBy("date")
@@ -268,3 +258,30 @@ def test_default_rules():
     assert spec.n_days == 1704 and spec.val_start == date(2017, 7, 31)
     assert spec.since(date(2017, 1, 1)).calendar_start == date(2017, 1, 1)
     assert spec.since(date(2000, 1, 1)).calendar_start == spec.calendar_start
+
+
+def test_a_failed_job_leaves_the_last_set(spark, run_dir, monkeypatch):
+    """Killed between two layers: readers keep the set before, and the next run publishes whole."""
+    from shelfcast.plans import jobs
+
+    def write(version, fail=False):
+        with jobs.new_set(spark, run_dir) as folder:
+            for layer in ("first", "second"):
+                if fail and layer == "second":
+                    raise RuntimeError("killed")
+                jobs.write_layer(spark.range(version), f"{folder}/{layer}")
+
+    def seen():
+        return [read_layer(spark, f"{current(spark, run_dir)}/{layer}").count() for layer in ("first", "second")]
+
+    with pytest.raises(FileNotFoundError):
+        current(spark, run_dir)
+    write(3)
+    before = read_layer(spark, f"{current(spark, run_dir)}/first")
+    with pytest.raises(RuntimeError):
+        write(5, fail=True)
+    assert seen() == [3, 3]
+    write(7)
+    assert seen() == [7, 7] and before.count() == 3  # a reader that began earlier goes on
+    prune(spark, run_dir, keep=1)
+    assert seen() == [7, 7] and len(os.listdir(f"{run_dir}/sets")) == 1

@@ -25,7 +25,31 @@ def test_features_sort_each_series_once(spark, sf_dir):
 def test_gold_does_not_shuffle_the_grid(spark, sf_dir):
     text = plan(q.master(spark, sf_dir))
     joins = text[: text.index("Generate explode(sequence(0")]
-    assert "SortMergeJoin" not in joins and joins.count("BroadcastHashJoin") >= 5
+    assert "SortMergeJoin" not in joins and joins.count("BroadcastHashJoin") >= 4
+
+
+def test_no_grid_is_joined_by_store(spark, sf_dir, monkeypatch):
+    """Attributes ride on the seeds, with any number of stores: here no dimension may be broadcast."""
+    monkeypatch.setattr("shelfcast.operators.sides.MAX_BROADCAST_ROWS", 0)
+    t = RetailTables(spark, sf_dir)
+    grid = q.continuous_grid(t.train, t.test, SPEC, stores=t.stores)
+    for df in (q.master(spark, sf_dir), q.with_holiday_flags(grid, q.effective_holidays(t.holidays), SPEC)):
+        text = plan(df)
+        above = text[: text.index("Generate explode(sequence(0")]
+        assert "SortMergeJoin" not in above and "Exchange hashpartitioning" not in above
+        assert not re.search(r"Join \[store_nbr", above)
+
+
+def test_requests_read_the_sales_three_times(spark, sf_dir):
+    text = plan(q.forecast_slice(spark, sf_dir))
+    sales = [s for s in re.findall(r"ReadSchema: (\S*)", text) if "l_shipdate" in s]
+    assert len(sales) == 2  # one more made the stored catalogue
+
+
+def test_asked_days_leave_dense_rows_in_place(spark, sf_dir):
+    text = plan(q.reports.only_asked(q.recent_grid(spark, sf_dir), q.reports.asked_days(q.short_requests(spark, sf_dir), (SPEC.test_start, SPEC.calendar_end))))
+    above = text[: text.index("Generate explode(sequence(0")]
+    assert "BroadcastHashJoin" in above and "SortMergeJoin" not in above
 
 
 def test_no_cross_joins(spark, sf_dir):
