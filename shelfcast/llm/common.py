@@ -22,8 +22,11 @@ PIECE = 1 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared checkpoint folder; a temporary one only on a single machine where none is set, as in
+    tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)

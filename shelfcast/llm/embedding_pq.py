@@ -18,10 +18,12 @@ SAMPLE_ROWS, SAMPLE_BYTES = 40_000, 32 << 20
 # Residuals are cut into SUBSPACES parts of at most CODES codewords each.
 SUBSPACES, CODES = 8, 256
 MOST_LISTS = 4096
-# Every vector looks into at least so many lists, and into this share of them.
-LEAST_PROBES, PROBE_SHARE = 24, 1 / 12
+# Every vector looks into so many lists, and into this share of them besides.
+LEAST_PROBES, PROBE_SHARE = 24, 1 / 64
 # Members and queries that meet in one task.
 MEMBERS, QUERIES = 2048, 8192
+# Pairs whose probes are compared in one step.
+PAIRS = 1 << 16
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -71,7 +73,7 @@ class Quantiser:
         rest = cls._parts(units - coarse[nearest(units, coarse, 1)[:, 0]])
         codes = min(CODES, len(units))
         books = np.stack([kmeans(rest[:, m], codes) for m in range(SUBSPACES)])
-        probes = min(lists, max(LEAST_PROBES, int(np.ceil(lists * PROBE_SHARE))))
+        probes = min(lists, LEAST_PROBES + int(lists * PROBE_SHARE))
         return cls(coarse, books, probes)
 
     @staticmethod
@@ -97,7 +99,7 @@ class Quantiser:
 
 
 def unit_rows(raw: np.ndarray) -> np.ndarray:
-    wide = raw.astype(np.float64)
+    wide = raw / np.abs(raw).max(axis=1, keepdims=True)  # so that no square passes what a double holds
     return wide / np.sqrt((wide**2).sum(axis=1, keepdims=True))
 
 
@@ -112,7 +114,7 @@ def _encoded(shared):
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
-                raw = np.stack([np.frombuffer(v.as_py(), np.float32) for v in batch.column("vector")])
+                raw = np.stack([np.frombuffer(v.as_py(), np.float64) for v in batch.column("vector")])
                 lists, codes, missed = quantiser.encode(unit_rows(raw).astype(np.float32))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -136,9 +138,9 @@ FOUND = "kind int, a long, b long"
 def _matches(shared, threshold: float):
     """Queries against the members of one list: table lookups bound the cosine, and the exact one decides.
 
-    Rows out: (0, query, copies found), (0, member, copies of the query) if the member does not look into
-    the query's own list and so cannot find it itself, and (1, a, b) for links: of each task's links as many as it
-    takes to connect what they connect.
+    Rows out: (0, query, copies found), (0, member, copies of the queries) of those in whose own list the member does
+    not look and so cannot find them itself, both summed; and (1, a, b): of each task's links as many pairs as it
+    takes to connect what they connect. So no pair has a row or a step of its own.
     """
     schema = arrow_schema(FOUND)
 
@@ -146,28 +148,20 @@ def _matches(shared, threshold: float):
         quantiser = Quantiser(*shared.value)
         member = table.filter(pa.compute.equal(table.column("role"), 0))
         query = table.filter(pa.compute.equal(table.column("role"), 1))
-        rows: list[tuple[int, int, int]] = []
+        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if member.num_rows and query.num_rows:
             ids, mult = member.column("cid").to_numpy(), member.column("mult").to_numpy()
-            units = unit_rows(np.stack([np.frombuffer(v.as_py(), np.float32) for v in member.column("vector")]))
+            units = unit_rows(np.stack([np.frombuffer(v.as_py(), np.float64) for v in member.column("vector")]))
             codes = np.stack([np.frombuffer(v.as_py(), np.uint8) for v in member.column("codes")])
             missed = member.column("missed").to_numpy()
-            probed = [set(np.frombuffer(v.as_py(), np.int32).tolist()) for v in member.column("probes")]
+            probed = np.stack([np.frombuffer(v.as_py(), np.int32) for v in member.column("probes")])
             centre = quantiser.coarse[int(member.column("list")[0].as_py())]
-            up: dict[int, int] = {}
-
-            def root(x: int) -> int:
-                while up.get(x, x) != x:
-                    up[x] = up.get(up[x], up[x])
-                    x = up[x]
-                return x
-
             step = max(1, (1 << 21) // max(1, len(ids)))
             for i in range(0, query.num_rows, step):
                 part = query.slice(i, step)
                 q_ids, q_mult = part.column("cid").to_numpy(), part.column("mult").to_numpy()
                 q_home = part.column("home").to_numpy()
-                q_units = unit_rows(np.stack([np.frombuffer(v.as_py(), np.float32) for v in part.column("vector")]))
+                q_units = unit_rows(np.stack([np.frombuffer(v.as_py(), np.float64) for v in part.column("vector")]))
                 tables = quantiser.tables(q_units.astype(np.float32))
                 told = (q_units.astype(np.float32) @ centre)[:, None]
                 for m in range(SUBSPACES):
@@ -177,26 +171,46 @@ def _matches(shared, threshold: float):
                 exact = np.einsum("ij,ij->i", q_units[x], units[y])
                 good = (exact >= threshold) & (q_ids[x] != ids[y])
                 x, y = x[good], y[good]
-                counts = np.bincount(x, weights=mult[y], minlength=len(q_ids)).astype(np.int64)
-                rows.extend((0, int(q_ids[k]), int(counts[k])) for k in np.flatnonzero(counts))
-                for k, l in zip(x.tolist(), y.tolist(), strict=True):
-                    if q_home[k] not in probed[l]:
-                        rows.append((0, int(ids[l]), int(q_mult[k])))
-                    a, b = root(int(q_ids[k])), root(int(ids[l]))
-                    if a != b:
-                        up[max(a, b)] = min(a, b)
-                        rows.append((1, int(q_ids[k]), int(ids[l])))
-        columns = list(zip(*rows, strict=True)) or [[], [], []]
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                if not len(x):
+                    continue
+                unseen = np.concatenate(
+                    [(probed[y[a : a + PAIRS]] != q_home[x[a : a + PAIRS], None]).all(axis=1) for a in range(0, len(x), PAIRS)]
+                )
+                for own, of, weights in ((q_ids, x, mult[y]), (ids, y[unseen], q_mult[x[unseen]])):
+                    counts = np.bincount(of, weights=weights, minlength=len(own)).astype(np.int64)
+                    some = np.flatnonzero(counts)
+                    rows.append((np.zeros(len(some), np.int64), own[some], counts[some]))
+                a, b = spanning(q_ids[x], ids[y])
+                rows.append((np.ones(len(a), np.int64), a, b))
+        columns = [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [[], [], []]
+        return pa.table([pa.array(c).cast(f.type) if len(c) else pa.array([], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For links a - b, as few pairs as connect what they connect: every number with the smallest that it reaches."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    low = np.arange(len(nodes))
+    while True:
+        least = np.minimum(low[x], low[y])
+        after = low.copy()
+        for side in (x, y, low[x], low[y]):
+            np.minimum.at(after, side, least)
+        after = after[after]
+        if np.array_equal(after, low):
+            break
+        low = after
+    other = low != np.arange(len(nodes))
+    return nodes[other], nodes[low[other]]
+
+
 def _vector_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema("cid long, mult long, first long, vector binary")
     for batch in batches:
         column = batch.column("embedding")
-        vectors = [np.asarray(v.values, dtype=np.float32).tobytes() for v in column]
+        vectors = [np.asarray(v.values, dtype=np.float64).tobytes() for v in column]
         yield pa.RecordBatch.from_arrays(
             [batch.column("cid"), batch.column("mult"), batch.column("first"), pa.array(vectors, pa.binary())], schema=schema
         )
@@ -208,7 +222,7 @@ def _linked(classes: DataFrame, total: int, scratch: Scratch, threshold: float)
     width = len(classes.select("vector").first()["vector"])
     rows = min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // width))
     sample = bounded_sample(classes.select("cid", "vector"), ["cid"], rows).select("vector").collect()
-    units = unit_rows(np.stack([np.frombuffer(r["vector"], np.float32) for r in sample])).astype(np.float32)
+    units = unit_rows(np.stack([np.frombuffer(r["vector"], np.float64) for r in sample])).astype(np.float32)
     quantiser = Quantiser.fit(units, total)
     shared = spark.sparkContext.broadcast((quantiser.coarse, quantiser.books, quantiser.probes))  # bounded by MOST_LISTS
     entries = scratch.store(classes.select("cid", "mult", "vector").mapInArrow(_encoded(shared), ENTRY))
@@ -265,20 +279,20 @@ def near_vectors(
     smallest vec_id that links reach; `kept` says whether that is the row's own. Rows with a null id take part,
     and are not kept; repeated ids are rows of their own. Columns not named are not read.
 
-    Every class is a member of its nearest list, and looks into the nearest LEAST_PROBES, or PROBE_SHARE of
-    them if that is more. A pair counts once for each side, even if only one side's look finds it.
+    Every class is a member of its nearest list, and looks into the nearest LEAST_PROBES and PROBE_SHARE of
+    all besides. A pair counts once for each side, even if only one side's look finds it.
     """
     spark = vectors.sparkSession
     ship(spark)
     scratch = scratch or Scratch(spark, "vectors")
-    own = F.col(vector_col).cast("array<float>")
+    own = F.col(vector_col).cast("array<double>")
     usable = (
         own.isNotNull()
         & F.forall(own, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(own, lambda x: x != 0)
     )
     # Adding zero turns -0.0 into 0.0, so that equal vectors hash alike.
-    plain = F.transform(own, lambda x: x + F.lit(0.0).cast("float"))
+    plain = F.transform(own, lambda x: x + F.lit(0.0))
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.coalesce(usable, F.lit(False)).alias("usable"),

@@ -6,7 +6,7 @@ from shelfcast.llm import embedding_pq as e
 def brute(ids, vectors, threshold=0.9):
     n = len(ids)
     ok = [v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) for v in vectors]
-    units = {i: np.array(vectors[i], np.float32).astype(np.float64) for i in range(n) if ok[i]}
+    units = {i: np.array(vectors[i], np.float64) for i in range(n) if ok[i]}
     units = {i: v / np.sqrt((v**2).sum()) for i, v in units.items()}
     links = {i: set() for i in range(n)}
     for i in units:
@@ -59,6 +59,36 @@ def test_recall_and_no_false_links(spark):
     assert found >= 0.97 * true > 1000
 
 
+def test_recall_at_scale_of_many_lists(spark):
+    """20,000 vectors, 283 lists: the probes are a tenth of them."""
+    vectors = made(8, 12_000)[:20_000]
+    units = e.unit_rows(vectors.astype(np.float64))
+    true = sum(int((units[k : k + 2000] @ units.T >= 0.9).sum()) for k in range(0, len(units), 2000)) - len(units)
+    out = e.near_vectors(frame(spark, list(range(len(vectors))), vectors.tolist()))
+    assert 0.97 * true <= out.agg({"n_links": "sum"}).first()[0] <= true and true > 10_000
+
+
+def test_doubles_stay_doubles(spark):
+    """Vectors apart by less than a float tells, and beyond what a float holds."""
+    rows = [(1, [1e300, 1e299]), (2, [2e300, 2e299]), (3, [1e-300, 0.0]), (4, [0.9, 0.43588989435406733]), (5, [1.0, 0.0]), (6, [0.8999999, 0.4358901])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r.vec_id: r.n_links for r in e.near_vectors(docs).collect()}
+    units = e.unit_rows(np.array([v for _, v in rows]))
+    near = units @ units.T >= 0.9
+    assert out == {i: int(near[k].sum()) - 1 for k, (i, _) in enumerate(rows)}
+
+
+def test_spanning_pairs():
+    rng = np.random.default_rng(9)
+    for n, m in ((30, 12), (200, 190), (300, 2000)):
+        a, b = rng.integers(0, n, m) * 7, rng.integers(0, n, m) * 7
+        low = {x: x for x in {*a.tolist(), *b.tolist()}}
+        for _ in range(n):
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                low[x] = low[y] = min(low[x], low[y])
+        assert dict(zip(*(x.tolist() for x in e.spanning(a, b)), strict=True)) == {x: y for x, y in low.items() if x != y}
+
+
 def test_odd_rows_and_copies(spark):
     nan, inf = float("nan"), float("inf")
     vectors = made(3, 60, 8).tolist()
