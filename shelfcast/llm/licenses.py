@@ -193,11 +193,11 @@ def scan(pairs: np.ndarray, templates: list[Template], every: np.ndarray, thresh
 RESULT = "doc_id long, n_matches int, licences string, best_dice double, passages string"
 
 
-def _scanned(threshold: float):
+def _scanned(threshold: float, known):
     schema = arrow_schema(RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates, every = compile_templates(threshold=threshold)
+        templates, every = compile_templates(known, threshold)
         for batch in batches:
             rows = []
             for pairs in bigrams(batch.column("text")):
@@ -218,16 +218,17 @@ def _scanned(threshold: float):
     return run
 
 
-def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """Per row of `docs` (doc_id, text): n_matches, licences (sorted names, comma-separated), best_dice, and passages
     as licence@first word+words, in order.
 
     The whole text is compared, wherever a licence passage stands in it: lower-cased words without marks, their
     bigrams, and stretches of them whose length can reach `threshold` with a template at all. The coefficient
     is 2 * shared / (bigrams of the stretch + of the template), with repeated bigrams counted as often as both have
-    them. Null and empty texts, and texts without a match, have 0, '', 0.0, ''. Rows stay as they are,
+    them. `templates` are pairs of a licence's name and a text of it; they go along with the code, so they have to be
+    few enough for every task. Null and empty texts, and texts without a match, have 0, '', 0.0, ''. Rows stay as they are,
     repeated ones too; other columns are not read. Nothing is shuffled.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_scanned(threshold), RESULT)
+    return rows.mapInArrow(_scanned(threshold, tuple(templates)), RESULT)

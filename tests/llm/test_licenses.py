@@ -84,3 +84,10 @@ def test_odd_rows(spark):
     out = s.license_scan(docs).collect()
     assert sorted((r.n_matches, r.licences, r.best_dice) for r in out) == [(0, "", 0.0)] * 5 + [(1, "MIT", 1.0)]
     assert s.license_scan(docs.limit(0)).count() == 0
+
+
+def test_own_templates(spark):
+    own = (("Mine", "you may copy this text as often as you like but not on sundays"),)
+    docs = spark.createDataFrame([(1, "Well: You may copy this text as often as you like, but not on Sundays!"), (2, "Licensed under the MIT license.")], "doc_id long, text string")
+    out = {r.doc_id: (r.n_matches, r.licences, r.best_dice) for r in s.license_scan(docs, templates=own).collect()}
+    assert out == {1: (1, "Mine", 1.0), 2: (0, "", 0.0)}
