@@ -78,8 +78,12 @@ def year_totals(sales: DataFrame) -> DataFrame:
 
 
 def month_year_matrix(sales: DataFrame, years: list[int]) -> DataFrame:
-    """Mean sales per row, months down and the given years across."""
-    dated = sales.select(F.year("date").alias("year"), F.month("date").alias("month"), "sales")
+    """Mean sales per row, months down and the given years across. Sales of any other year are an error: they would
+    vanish without a word."""
+    year = F.year("date")
+    other = F.raise_error(F.concat(F.lit("sales of a year that is not listed: "), year.cast("string"))).cast("int")
+    listed = F.when(year.isin(*years) | year.isNull(), year).otherwise(other)
+    dated = sales.select(listed.alias("year"), F.month("date").alias("month"), "sales")
     return dated.groupBy("month").pivot("year", years).agg(F.avg("sales")).orderBy("month")
 
 

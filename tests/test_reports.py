@@ -54,6 +54,34 @@ def test_requests(spark, forecasts):
     assert [r["predicted_sales"] for r in rows[3:]] == [9.0, 9.0]
 
 
+def test_asked_days(spark):
+    def day(d):
+        return date(2017, 8, d)
+
+    asked = [
+        (1, "A", day(1), day(3)),
+        (1, "A", day(2), day(2)),  # inside
+        (1, "A", day(4), day(5)),  # follows
+        (1, "A", day(8), day(9)),  # a gap before
+        (1, "A", day(9), day(7)),  # ends before it starts
+        (1, "B", None, None),
+        (2, "A", day(5), None),
+    ]
+    requests = spark.createDataFrame(asked, "store_nbr int, family string, start_date date, end_date date")
+    spans = reports.asked_days(requests, (FIRST, LAST))
+    assert sorted(tuple(r) for r in spans.collect()) == [
+        (1, "A", day(1), day(5)), (1, "A", day(8), day(9)), (1, "B", FIRST, LAST), (2, "A", day(5), LAST),
+    ]
+    rows = spark.createDataFrame([(1, "A", day(d)) for d in range(1, 12)], "store_nbr int, family string, date date")
+    assert sorted(r.date.day for r in reports.only_asked(rows, spans).collect()) == [1, 2, 3, 4, 5, 8, 9]
+
+
+def test_one_card_per_store(spark):
+    rows = [(1, "Z", "s", "t", 1), (1, "A", "s", "t", 2), (2, "B", "s", "t", 3)]
+    cards = reports.store_cards(spark.createDataFrame(rows, "store_nbr int, city string, state string, type string, cluster int"))
+    assert sorted(tuple(r) for r in cards.collect()) == [rows[1], rows[2]]
+
+
 def test_submission_and_join(forecasts):
     sent = reports.submission(forecasts.withColumn("id", F.when(F.col("id") != 27, F.col("id"))))
     assert [r["id"] for r in sent.collect()] == [26, 28, 36, 37, 38]
@@ -112,4 +140,6 @@ def test_profiles(spark):
     assert len(top) == 1 and top[0]["family"] == "B" and top[0]["share_pct"] == pytest.approx(10 / 12 * 100)
     matrix = profile.month_year_matrix(sales, [2016, 2017]).collect()
     assert matrix[0]["2017"] == pytest.approx(8 / 3) and matrix[0]["2016"] is None
+    with pytest.raises(Exception, match="not listed: 2016"):
+        profile.month_year_matrix(sales, [2017]).collect()
     assert profile.total_on(sales, date(2017, 1, 2)).first()["sales"] == 6.0
