@@ -21,11 +21,13 @@ from shelfcast.plans.jobs import (
     answer_requests,
     feature_table,
     load_ensemble,
+    master_table,
     read_features,
     run_data_job,
     run_feature_job,
     run_training_job,
 )
+from shelfcast.plans.features import build_features
 from shelfcast.plans.reports import forecast_slice, rejected_requests
 from shelfcast.sources.ingest import read_layer, read_raw, read_report, typed
 from shelfcast.sources.publish import current, prune
@@ -185,10 +187,19 @@ def test_requests_for_past_days_are_scored(spark, out):
     assert reasons == {3: "unknown_family", 4: "store_out_of_range", 5: "no_data"}
 
 
-def test_stored_path_never_shuffles_dense_rows(spark, out):
-    plan = feature_table(spark, out, SHORT)._jdf.queryExecution().executedPlan().toString()
-    above = plan[: plan.index("Generate explode(sequence(0")]
-    assert "SortMergeJoin" not in above and len(re.findall(r"\bExchange hashpartitioning", above)) == 0
+def test_features_read_the_master_without_a_shuffle(spark, out):
+    """The master is written by the tasks that fill the days, a file per bucket, and read in these buckets."""
+    df = feature_table(spark, out, SHORT)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    files = [f for f in os.listdir(f"{current(spark, out)}/gold/master") if f.startswith("part-")]
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the same as from the cells, in one plan
+    layers = current(spark, out)
+    whole = build_features(master_table(spark, f"{layers}/bronze", f"{layers}/silver", SHORT), SHORT)
+    columns = ["store_nbr", "family", "date", "sales_lag_16", "sales_roll_mean_7", "sales_ewm_alpha_01", "promo_roll_mean_14"]
+    columns = [c for c in columns if c in df.columns]
+    assert df.select(columns).exceptAll(whole.select(columns)).count() == 0 and df.count() == whole.count()
 
 
 def test_missing_file_fails(spark, out):
