@@ -236,6 +236,19 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
         found[wrong] = found[found[wrong]]
 
 
+def _suffix_order(ranks: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """The order of the suffixes at `starts` by twice the longest reach, equal ones by place."""
+    n, reach = len(ranks[-1]), REACHES[-1]
+    second = np.zeros(n, U)
+    second[: max(0, n - reach)] = ranks[-1][reach:]
+    bits, place_bits = n.bit_length(), max(1, len(starts).bit_length())
+    if 2 * bits + place_bits > 64:
+        return np.lexsort((starts, second[starts], ranks[-1][starts]))
+    # ranks and place in one word: a plain sort
+    key = ((ranks[-1][starts] << U(bits) | second[starts]) << U(place_bits)) | np.arange(len(starts), dtype=U)
+    return (np.sort(key) & U((1 << place_bits) - 1)).astype(np.int64)
+
+
 def longest_factors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest previous and longest next factor of the suffixes at `starts` (ascending), which go up to `ends`: bytes
     of the longest match that starts earlier, and later.
@@ -245,11 +258,11 @@ def longest_factors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     share no more with any other; they are left out, and get 0.
     """
     ranks = suffix_ranks(data)
-    second = np.zeros(len(data), U)
-    second[: max(0, len(data) - REACHES[-1])] = ranks[-1][REACHES[-1] :]
-    order = np.lexsort((starts, second[starts], ranks[-1][starts]))
+    order = _suffix_order(ranks, starts)
     lpf, lnf = np.zeros((2, len(starts)), np.int64)
-    near = common_prefix(ranks, starts[order[:-1]], starts[order[1:]]) >= MATCH
+    # MATCH bytes are the longest reach and what is left of them.
+    whole, rest = ranks[-1][starts[order]], ranks[REACHES.index(MATCH - REACHES[-1])][starts[order] + REACHES[-1]]
+    near = (whole[1:] == whole[:-1]) & (rest[1:] == rest[:-1])
     some = order[np.concatenate((near, [False])) | np.concatenate(([False], near))]
     if not len(some):
         return lpf, lnf
