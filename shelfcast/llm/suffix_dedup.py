@@ -229,11 +229,12 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
     """For each place the nearest one before it with a smaller value; -1 if there is none. A place that does not
     qualify hands on to the one it points to, so the steps double."""
     found = np.arange(-1, len(values) - 1)
-    while True:
-        wrong = np.flatnonzero((found >= 0) & (values[found] > values))
-        if not len(wrong):
-            return found
+    wrong = np.flatnonzero(values[1:] < values[:-1]) + 1
+    while len(wrong):
         found[wrong] = found[found[wrong]]
+        to = found[wrong]
+        wrong = wrong[(to >= 0) & (values[to] > values[wrong])]
+    return found
 
 
 def _suffix_order(ranks: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
