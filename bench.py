@@ -12,10 +12,12 @@ import os
 import re
 import tempfile
 import time
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.models.gbt import DEPTH_WISE, LEAF_WISE
 from shelfcast.plans.features import build_features
 from shelfcast.plans.jobs import load_ensemble, read_features, run_data_job, run_feature_job, run_training_job
 from shelfcast.sources.schemas import RAW
@@ -25,6 +27,9 @@ from shelfcast.workload.tables import SPEC, RetailTables
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
+# Rounds of each flavour that the timed training job grows at most.
+ROUNDS = 30
+
 # The stages of the data job, whole tables; then reports and forecasts.
 STAGES = {
     "grid": q.full_grid,
@@ -81,7 +86,8 @@ def timed(job) -> float:
 
 def jobs(spark: SparkSession, sf_dir: str) -> dict:
     """The three jobs one after the other, from CSV files to stored layers, models and forecasts: seconds of each, with
-    the rows and rounds that they worked on. Both flavours with their real depth, rate and patience, on all rows."""
+    the rows and rounds that they worked on. Both flavours with their real depth, rate and patience, on all rows, for
+    ROUNDS rounds at most."""
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     t = RetailTables(spark, sf_dir)
     tables = {"train": t.train, "test": t.test, "stores": t.stores, "oil": t.oil, "holidays_events": t.holidays, "transactions": t.transactions}
@@ -91,13 +97,18 @@ def jobs(spark: SparkSession, sf_dir: str) -> dict:
     seconds = {
         "data": timed(lambda: run_data_job(spark, f"{root}/raw", root, SPEC)),
         "features": timed(lambda: run_feature_job(spark, root, f"{root}/features", SPEC)),
-        "training": timed(lambda: run_training_job(spark, f"{root}/features", f"{root}/out")),
+        "training": timed(
+            lambda: run_training_job(
+                spark, f"{root}/features", f"{root}/out", leaf_wise=replace(LEAF_WISE, rounds=ROUNDS), depth_wise=replace(DEPTH_WISE, rounds=ROUNDS)
+            )
+        ),
     }
     features = read_features(spark, f"{root}/features")
     models = load_ensemble(spark, f"{root}/out").models
     return {
         "seconds": seconds,
         "feature_rows": features.count(),
+        "rounds_at_most": ROUNDS,
         "labelled_rows": features.filter("log_sales IS NOT NULL").count(),
         "rounds_kept": {name: model.stages[-1].getNumTrees for name, model in models.items()},
     }
