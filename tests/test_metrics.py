@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.metrics import evaluate, leaderboard, residual_correlation
 from shelfcast.functions.scale import from_log, promo_uplift, simulated_promotions, to_log
 from shelfcast.models.blend import blend_sweep
-from shelfcast.models.gbt import best_round
+from shelfcast.models.boosting import best_round
 from shelfcast.operators.quantiles import ACCURACY, box_stats, exact_quantiles
 
 
