@@ -13,3 +13,12 @@ def test_digest_keeps_one_count_a_column(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 3, 2, 4.0, 3.0 * nth, 17.0), (2, 1, 0, None, None, None)]
     text = q.digest(df, ("k",), ["x"])._jdf.queryExecution().optimizedPlan().toString()
     assert "avg(" not in text and text.count("count(x") <= 4
+
+
+def test_partitions_grow_with_the_dense_rows(spark, sf_dir, monkeypatch):
+    whole = q.full_grid(spark, sf_dir)
+    monkeypatch.setattr("shelfcast.operators.grid.ROWS_A_TASK", 5_000)
+    many = q.full_grid(spark, sf_dir)
+    n_rows = whole.count()
+    assert many.rdd.getNumPartitions() == -(-n_rows // 5_000) > whole.rdd.getNumPartitions()
+    assert many.count() == n_rows and many.exceptAll(whole).count() == 0
