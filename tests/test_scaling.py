@@ -1,5 +1,7 @@
 """What keeps queries over dense rows within their limits as tables grow."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from shelfcast.workload import queries as q
@@ -22,3 +24,17 @@ def test_partitions_grow_with_the_dense_rows(spark, sf_dir, monkeypatch):
     n_rows = whole.count()
     assert many.rdd.getNumPartitions() == -(-n_rows // 5_000) > whole.rdd.getNumPartitions()
     assert many.count() == n_rows and many.exceptAll(whole).count() == 0
+
+
+def test_boosted_queries_store_what_the_encodings_read(spark, sf_dir, monkeypatch):
+    """One narrow table for codes and means; rows to learn from and validation rows come from one pass."""
+    monkeypatch.setattr(q, "LABELLED_ROWS", 40)
+    train, encoded, learn, val = q._model_tables(spark, sf_dir)
+    key = [*q.SERIES, "date"]
+    first = train.select(*key).orderBy(F.xxhash64(*key)).limit(40)
+    assert learn.select(*key).exceptAll(first).count() == 0 and learn.count() == 40 and learn.columns == train.columns
+    assert encoded.count() == train.count() and set(encoded.columns) == {"date", *q.CATEGORICALS, "log_sales"}
+    assert val.count() == q.validation(spark, sf_dir).filter("sales IS NOT NULL").count()
+    params = replace(q.LEAF_WISE, rounds=1, depth=2, patience=1, min_rows_per_leaf=1)
+    codes = [q.fit_forecaster(t, val, params, learn).transform(val).select(*key, "e_store_nbr", "e_family") for t in (train, encoded)]
+    assert codes[0].exceptAll(codes[1]).count() == 0
